@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakecast.queries import features
+from lakecast.queries import features, lookups
 from lakecast.queries.common import Query
 
-_MODULES = (features,)
+_MODULES = (features, lookups)
 
 
 def registry() -> dict[str, Query]:
