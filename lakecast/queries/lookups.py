@@ -305,9 +305,11 @@ def _decode_labels(spark, sf_dir):
 
 
 def _decode_with_maps(spark, sf_dir):
-    maps = {"region": {0: "AFRICA", 1: "AMERICA", 2: "ASIA"}}
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("region_index"))
-    return comparable(decode_with_maps(nation, maps))
+    maps = {"line": {1: "first", 2: "second", 3: "third"}}
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_linenumber").alias("line_index")
+    )
+    return comparable(decode_with_maps(lines, maps))
 
 
 def _encode_decode(spark, sf_dir):
@@ -356,13 +358,12 @@ def _concat_by_name(spark, sf_dir):
 
 
 def _struct_equality(spark, sf_dir):
-    """Rows whose (quantity, discount) pair, as a struct, equals their group's largest."""
+    """Lines whose (quantity, discount) pair equals its coarser copy, compared as structs."""
     lineitem = table(spark, sf_dir, "lineitem")
     pair = F.struct("l_quantity", "l_discount")
-    top = lineitem.groupBy("l_returnflag").agg(F.max(pair).alias("top"))
-    joined = lineitem.withColumn("pair", pair).join(top, "l_returnflag")
-    equal = joined.where(F.col("pair") == F.col("top"))
-    return comparable(equal.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")))
+    coarse = F.struct(F.col("l_quantity"), F.round("l_discount", 1).alias("l_discount"))
+    equal = lineitem.where(pair == coarse)
+    return comparable(equal.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _run_sql(spark, sf_dir):
@@ -486,9 +487,8 @@ QUERIES = [
           "CASE WHEN n_nationkey < 20 THEN n_name END AS nation "
           "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"),
     Query("decode_with_maps", _decode_with_maps,
-          "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CAST(n_regionkey AS BIGINT) AS region_index, "
-          "CASE WHEN n_regionkey < 3 THEN r_name END AS region "
-          "FROM nation LEFT JOIN region ON n_regionkey = r_regionkey"),
+          "SELECT l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS line_index, "
+          "CASE l_linenumber WHEN 1 THEN 'first' WHEN 2 THEN 'second' WHEN 3 THEN 'third' END AS line FROM lineitem"),
     Query("encode_decode", _encode_decode, "SELECT p_partkey, p_brand, p_type FROM part"),
     Query("published_codes", _published_codes,
           "SELECT o_orderkey, o_orderstatus, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END "
@@ -520,9 +520,8 @@ QUERIES = [
           f"o_orderstatus, round(o_totalprice, 6) AS o_totalprice, {sql_time('o_orderdate', 'o_orderdate')}, "
           f"CASE WHEN o_orderdate >= TIMESTAMP '{SPLIT_AT}' THEN o_orderpriority END AS o_orderpriority FROM orders"),
     Query("struct_equality", _struct_equality,
-          "WITH l AS (SELECT l_returnflag, {'q': l_quantity, 'd': l_discount} AS pair FROM lineitem), "
-          "t AS (SELECT l_returnflag, MAX(pair) AS top FROM l GROUP BY 1) "
-          "SELECT l_returnflag, COUNT(*) AS n FROM l JOIN t USING (l_returnflag) WHERE pair = top GROUP BY 1"),
+          "SELECT l_returnflag, l_linestatus, COUNT(*) AS n FROM lineitem "
+          "WHERE {'q': l_quantity, 'd': l_discount} = {'q': l_quantity, 'd': round(l_discount, 1)} GROUP BY 1, 2"),
     Query("run_sql", _run_sql,
           "SELECT o_orderpriority, CAST(SUM(CAST(round(o_totalprice) AS BIGINT)) AS BIGINT) AS total, COUNT(*) AS n "
           "FROM orders GROUP BY 1"),

@@ -84,7 +84,7 @@ def create_or_replace_as(df: DataFrame, path: str, fmt: str = "parquet") -> Data
     return df.sparkSession.read.format(fmt).load(path)
 
 
-_POINTER = "_current"
+_POINTER = "CURRENT"
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
