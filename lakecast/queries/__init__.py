@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakecast.queries import features, forecasts, loads, lookups, quality, tables
+from lakecast.queries import features, forecasts, loads, lookups, models, quality, tables
 from lakecast.queries.common import Query
 
-_MODULES = (features, lookups, tables, quality, loads, forecasts)
+_MODULES = (features, lookups, tables, quality, loads, forecasts, models)
 
 
 def registry() -> dict[str, Query]:
