@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakecast.session import broadcast_if_small, cut_lineage
+from lakecast.session import cut_lineage, is_small
 
 CODE_SCHEMA = "column string, label string, code bigint"
 
@@ -99,10 +99,11 @@ def encode(
     df: DataFrame, code_table: DataFrame, columns: Sequence[str], keep_labels: bool = True
 ) -> DataFrame:
     """Adds ``<column>_index`` for each label column; a null label finds the null label's code."""
-    out = df
+    out, small = df, is_small(code_table)
     for column in columns:
-        codes = broadcast_if_small(codes_of(code_table, column).withColumnRenamed(column, "_label"))
-        out = out.join(codes, F.col(column).cast("string").eqNullSafe(F.col("_label")), "left").drop("_label")
+        codes = codes_of(code_table, column).withColumnRenamed(column, "_label")
+        same = F.col(column).cast("string").eqNullSafe(F.col("_label"))
+        out = out.join(F.broadcast(codes) if small else codes, same, "left").drop("_label")
     return out if keep_labels else out.drop(*columns)
 
 
@@ -110,11 +111,12 @@ def decode_labels(
     df: DataFrame, code_table: DataFrame, columns: Sequence[str], keep_codes: bool = False
 ) -> DataFrame:
     """Adds the label of ``<column>_index``; an unknown code gives null."""
-    out = df
+    out, small = df, is_small(code_table)
     for column in columns:
         index = f"{column}_index"
-        codes = broadcast_if_small(codes_of(code_table, column).withColumnRenamed(index, "_code"))
-        out = out.join(codes, F.col(index) == F.col("_code"), "left").drop("_code")
+        codes = codes_of(code_table, column).withColumnRenamed(index, "_code")
+        same = F.col(index) == F.col("_code")
+        out = out.join(F.broadcast(codes) if small else codes, same, "left").drop("_code")
     return out if keep_codes else out.drop(*(f"{c}_index" for c in columns))
 
 

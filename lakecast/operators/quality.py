@@ -100,19 +100,17 @@ def schema_gate(columns: Sequence[str], rules: Sequence[Rule]) -> None:
 
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per value rule: rows that pass and rows that do not, all rules in one aggregate."""
-    return _counts(df, rules).select("kind", "column", "success_count", "failure_count")
+    counts = _counts(_with_flags(df, rules), _value_rules(df, rules))
+    return counts.select("kind", "column", "success_count", "failure_count")
 
 
-def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    checked = _with_flags(df, rules)
+def _counts(checked: DataFrame, numbered: list[tuple[int, Rule]]) -> DataFrame:
     measured = [F.count(F.lit(1)).alias("rows")]
-    numbered = _value_rules(df, rules)
     for i, rule in numbered:
         ok = rule.predicate(_flag(i))
         measured.append(F.count_if(ok).alias(f"ok_{i}"))
         measured.append(F.count_if(~ok).alias(f"bad_{i}"))
         measured.append(F.count(rule.column).alias(f"present_{i}"))
-    totals = checked.agg(*measured)
     lines = [
         F.struct(
             F.lit(i).alias("rule"),
@@ -126,16 +124,15 @@ def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         for i, rule in numbered
     ]
-    return totals.select(F.inline(F.array(*lines)))
+    return checked.agg(*measured).select(F.inline(F.array(*lines)))
 
 
-def unexpected_samples(df: DataFrame, rules: Sequence[Rule], size: int) -> DataFrame:
+def _samples(checked: DataFrame, numbered: list[tuple[int, Rule]], size: int) -> DataFrame:
     """The smallest ``size`` offending values per rule, as text.
 
     The rank limit is applied in each task before the shuffle, so a rule broken by every
     row still moves only ``size`` values per task.
     """
-    checked = _with_flags(df, rules)
     hits = F.array_compact(
         F.array(
             *(
@@ -143,41 +140,36 @@ def unexpected_samples(df: DataFrame, rules: Sequence[Rule], size: int) -> DataF
                     ~rule.predicate(_flag(i)),
                     F.struct(F.lit(i).alias("rule"), F.col(rule.column).cast("string").alias("value")),
                 )
-                for i, rule in _value_rules(df, rules)
+                for i, rule in numbered
             )
         )
     )
-    offending = checked.select(F.inline(hits))
     by_rule = Window.partitionBy("rule").orderBy("value")
     return (
-        offending.withColumn("position", F.row_number().over(by_rule))
+        checked.select(F.inline(hits))
+        .withColumn("position", F.row_number().over(by_rule))
         .where(F.col("position") <= size)
         .groupBy("rule")
         .agg(F.sort_array(F.collect_list("value")).alias("partial_unexpected_list"))
     )
 
 
-def run_suite(
+def _summary(
     df: DataFrame,
+    checked: DataFrame,
     rules: Sequence[Rule],
-    columns: Sequence[str] | None = None,
-    nulls_pass: bool = True,
-    sample: int = 20,
+    columns: Sequence[str] | None,
+    nulls_pass: bool,
 ) -> DataFrame:
-    """One row per rule: kind, column, success, unexpected count and percent, sample values.
-
-    All value rules share one aggregate pass, and the samples one more (``sample=0`` skips
-    it). ``columns`` are the columns the files have, for the existence rules. Nulls do not
-    count against a rule unless ``nulls_pass`` is off; the percentage is then of all rows,
-    otherwise of the non-null ones.
-    """
+    """The suite's result without samples: one aggregate pass."""
     present = set(columns if columns is not None else df.columns)
     bad = F.col("unexpected_count") if nulls_pass else F.col("failure_count")
     base = F.col("present_count") if nulls_pass else F.col("row_count")
+    numbered = _value_rules(df, rules)
     parts = []
-    if _value_rules(df, rules):
+    if numbered:
         parts.append(
-            _counts(df, rules).select(
+            _counts(checked, numbered).select(
                 "rule",
                 "kind",
                 "column",
@@ -187,7 +179,7 @@ def run_suite(
             )
         )
     fixed = [
-        (i, r.kind, r.column, r.column in present, 0, 0.0)
+        (i, r.kind, r.column, r.column in present and r.column in df.columns, 0, 0.0)
         for i, r in enumerate(rules)
         if not r.on_values or r.column not in df.columns
     ]
@@ -199,15 +191,55 @@ def run_suite(
                 "unexpected_count bigint, unexpected_percent double",
             )
         )
-    summary = reduce(DataFrame.unionByName, parts)
-    if sample and _value_rules(df, rules):
-        summary = summary.join(unexpected_samples(df, rules, sample), "rule", "left")
-    else:
-        summary = summary.withColumn("partial_unexpected_list", F.lit(None).cast("array<string>"))
-    empty = F.array().cast("array<string>")
-    return summary.withColumn(
-        "partial_unexpected_list", F.coalesce("partial_unexpected_list", empty)
-    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_samples(summary: DataFrame, samples: DataFrame | None) -> DataFrame:
+    name, empty = "partial_unexpected_list", F.array().cast("array<string>")
+    if samples is None:
+        return summary.withColumn(name, empty)
+    return summary.join(samples, "rule", "left").withColumn(name, F.coalesce(name, empty))
+
+
+def run_suite(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    columns: Sequence[str] | None = None,
+    nulls_pass: bool = True,
+    sample: int = 20,
+) -> DataFrame:
+    """One row per rule: kind, column, success, unexpected count and percent, sample values.
+
+    All value rules share one aggregate pass, and the samples one more (``sample=0`` skips
+    it). ``columns`` are the columns the files have, for the existence rules. Nulls do not
+    count against a rule unless ``nulls_pass`` is off; the percentage is then of all rows,
+    otherwise of the non-null ones.
+    """
+    checked, numbered = _with_flags(df, rules), _value_rules(df, rules)
+    summary = _summary(df, checked, rules, columns, nulls_pass)
+    samples = _samples(checked, numbered, sample) if sample and numbered else None
+    return _with_samples(summary, samples)
+
+
+def judge(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    columns: Sequence[str] | None = None,
+    nulls_pass: bool = True,
+    sample: int = 20,
+) -> tuple[DataFrame, bool]:
+    """The suite's result, already computed, and whether all rules passed.
+
+    A clean batch costs one pass; values are sampled only for rules that failed.
+    """
+    checked = _with_flags(df, rules)
+    counted = _summary(df, checked, rules, columns, nulls_pass)
+    rows = counted.collect()  # one row per rule
+    summary = df.sparkSession.createDataFrame(rows, counted.schema)
+    failed = {r["rule"] for r in rows if not r["success"]}
+    numbered = [(i, rule) for i, rule in _value_rules(df, rules) if i in failed]
+    samples = _samples(checked, numbered, sample) if sample and numbered else None
+    return _with_samples(summary, samples), not failed
 
 
 def all_success(summary: DataFrame, kind: str | None = None) -> bool:

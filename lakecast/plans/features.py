@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakecast.functions.temporal import calendar_columns
 from lakecast.operators.aggregates import group_series
-from lakecast.operators.encoding import encode
+from lakecast.operators.encoding import build_code_table, encode
 from lakecast.operators.windows import (
     add_lags,
     add_trailing_means,
@@ -17,6 +17,7 @@ from lakecast.operators.windows import (
     drop_null_means,
 )
 from lakecast.series import SeriesSpec
+from lakecast.session import cut_lineage
 
 
 def group_hourly(
@@ -43,6 +44,20 @@ def encode_keys(
     return encode(df, code_table, columns, keep_labels)
 
 
+def encode_series(
+    series: DataFrame, columns: Sequence[str], code_table: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Grouped series with codes in place of labels, and the code table.
+
+    Without a code table one is built from the series. The series is checkpointed first:
+    it is far smaller than the raw rows, and so those are scanned only once.
+    """
+    if code_table is None:
+        series = cut_lineage(series)
+        code_table = build_code_table(series, columns)
+    return encode(series, code_table, columns, keep_labels=False), code_table
+
+
 def add_calendar(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return df.withColumns(calendar_columns(F.col(spec.time), spec.cycles))
 

@@ -74,11 +74,11 @@ def series_state(table: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class LiveState:
-    """State of the series that reach the latest time, and how many had ended before."""
+    """State of the series that reach the latest time, and of those that ended before."""
 
     rows: DataFrame
     clock: int
-    ended: int
+    ended: DataFrame
 
 
 def live_state(table: DataFrame, spec: SeriesSpec) -> LiveState | None:
@@ -88,12 +88,11 @@ def live_state(table: DataFrame, spec: SeriesSpec) -> LiveState | None:
     """
     state = cut_lineage(series_state(table, spec))
     reading = _reading(F.col(_LAST), spec)
-    totals = state.agg(F.max(reading).alias("clock"), F.count(F.lit(1)).alias("n")).first()
-    if totals["clock"] is None:
+    clock = state.agg(F.max(reading)).first()[0]
+    if clock is None:
         return None
-    live = state.where(reading == totals["clock"])
-    ended = state.where(reading < totals["clock"]).count()
-    return LiveState(live.drop(_LAST), totals["clock"], ended)
+    live, ended = state.where(reading == clock), state.where(reading < clock)
+    return LiveState(live.drop(_LAST), clock, ended.select(*spec.keys, F.col(_LAST).alias(spec.time)))
 
 
 def _mean(entries: str, name: str) -> Column:

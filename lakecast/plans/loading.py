@@ -17,7 +17,8 @@ from lakecast.operators.projections import (
     normalise_time,
     since_high_water,
 )
-from lakecast.operators.quality import Rule, all_success, isolate, run_suite, schema_gate
+from lakecast.operators.quality import Rule, isolate, judge, schema_gate
+from lakecast.session import cut_lineage
 from lakecast.sources.files import file_columns, nanos_as_long, scan_parquet
 from lakecast.sources.tables import (
     latest_in_partitions,
@@ -118,9 +119,7 @@ def load_validated(
         rows = since_high_water(batch, time, high_water)
         if rows.isEmpty():
             return LoadReport("up_to_date")
-    results = run_suite(rows, rules, columns)
-    summary = spark.createDataFrame(results.collect(), results.schema)  # one row per rule
-    passed = all_success(summary)
+    summary, passed = judge(rows, rules, columns)
     accepted = rows if passed else quarantine(rows, rules, rows.schema, good_path, bad_path, null_policy)
     if not passed and on_fail == "quarantine_batch":
         return LoadReport("quarantined", summary)
@@ -171,18 +170,17 @@ def append_curated(
     """Bring new rows into the curated table and leave them as the increment snapshot.
 
     Only a table that is not there, or has no rows, leads to a full write; any other
-    read failure is raised. The snapshot is written first and the append reads it, so both
-    hold the same rows and the join runs once. Returns the number of rows written.
+    read failure is raised. The new rows are checkpointed, so the join runs once and both
+    writes hold the same rows. Returns the number of rows written.
     """
     spark = source.sparkSession
     wanted = source.select(*columns) if columns else source
     if not table_exists(spark, path) or scan_table(spark, path).isEmpty():
         wanted.write.mode("overwrite").parquet(path)
         return scan_table(spark, path).count()
-    new = anti_new_rows(wanted, scan_table(spark, path), keys, null_safe)
-    if new.isEmpty():
-        return 0
-    new.write.mode("overwrite").parquet(increment_path)
-    increment = scan_table(spark, increment_path)
-    increment.write.mode("append").parquet(path)
-    return increment.count()
+    new = cut_lineage(anti_new_rows(wanted, scan_table(spark, path), keys, null_safe))
+    written = new.count()
+    if written:
+        new.write.mode("overwrite").parquet(increment_path)
+        new.write.mode("append").parquet(path)
+    return written

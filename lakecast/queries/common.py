@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecast.functions.temporal import TEXT_FORMAT
-from lakecast.operators.encoding import build_code_table
-from lakecast.plans.features import encode_keys, group_daily, group_hourly, model_table
+from lakecast.plans.features import encode_series, group_daily, group_hourly, model_table
 from lakecast.series import SeriesSpec
 
 
@@ -104,19 +103,12 @@ def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_hourly(facts, "transit_timestamp", HOURLY_LABELS, {"ridership": "value"})
 
 
-def encoded(series: DataFrame, labels: tuple[str, ...], source: DataFrame | None = None) -> DataFrame:
-    """Series with codes in place of labels; codes are taken from ``source``'s labels."""
-    codes = build_code_table(series if source is None else source, labels)
-    return encode_keys(series, codes, labels)
-
-
 def encoded_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
-    return encoded(daily_series(spark, sf_dir), DAILY_LABELS, lineitem)
+    return encode_series(daily_series(spark, sf_dir), DAILY_LABELS)[0]
 
 
 def encoded_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoded(hourly_series(spark, sf_dir), HOURLY_LABELS, hourly_facts(spark, sf_dir))
+    return encode_series(hourly_series(spark, sf_dir), HOURLY_LABELS)[0]
 
 
 def daily_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakecast.operators.encoding import build_code_table
 from lakecast.operators.projections import clean_relevant, null_field_count
 from lakecast.operators.windows import (
     add_lags,
@@ -11,7 +12,7 @@ from lakecast.operators.windows import (
     add_trailing_means,
     drop_null_lags,
 )
-from lakecast.plans.features import add_calendar, fill_gaps, group_daily
+from lakecast.plans.features import add_calendar, encode_keys, fill_gaps, group_daily
 from lakecast.queries.common import (
     DAILY,
     DAILY_LABELS,
@@ -25,7 +26,6 @@ from lakecast.queries.common import (
     comparable,
     daily_model,
     daily_series,
-    encoded,
     encoded_daily,
     encoded_hourly,
     hourly_model,
@@ -67,10 +67,9 @@ def _regrain(spark, sf_dir):
 
 
 def _ordinal_encode(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    return comparable(
-        encoded(part.select("p_partkey", "p_brand", "p_type"), ("p_brand", "p_type"))
-    )
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    codes = build_code_table(part, ("p_brand", "p_type"))
+    return comparable(encode_keys(part, codes, ("p_brand", "p_type")))
 
 
 def _calendar(series, spec):

@@ -23,7 +23,6 @@ from lakecast.plans.modeling import (
     random_forest,
     save_model,
 )
-from lakecast.operators.encoding import build_code_table
 from lakecast.queries.common import (
     DAILY,
     DAILY_LABELS,
@@ -33,9 +32,8 @@ from lakecast.queries.common import (
     daily_model,
     daily_series,
     hourly_model,
-    table,
 )
-from lakecast.plans.features import encode_keys, model_table
+from lakecast.plans.features import encode_series, model_table
 from lakecast.queries.forecasts import DAILY_STEPS, _DAILY_TEST, _HOURLY_TEST
 from lakecast.session import cut_lineage, scratch_path
 
@@ -72,8 +70,7 @@ def _fit(build, spec, regressor):
 
 def _publish_best(spark, sf_dir):
     """Test predictions of the better of two models, labels decoded."""
-    codes = build_code_table(table(spark, sf_dir, "lineitem"), DAILY_LABELS)
-    series = encode_keys(daily_series(spark, sf_dir), codes, DAILY_LABELS)
+    series, codes = encode_series(daily_series(spark, sf_dir), DAILY_LABELS)
     model = cut_lineage(model_table(series, DAILY))
     regressors = {
         "boosted": boosted_trees("ridership", max_depth=4, rounds=5, engine="spark"),

@@ -59,12 +59,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Broadcast hint only after counting rows and bytes; otherwise Spark chooses the join.
+def is_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> bool:
+    """Few enough rows and bytes to broadcast?
 
     The count stops at ``max_rows + 1`` rows, so probing a big input stays cheap. Pass
     materialised inputs (files, tables, checkpoints): a lazy input is evaluated for the probe.
@@ -80,6 +78,9 @@ def broadcast_if_small(
         .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
         .first()
     )
-    if rows <= max_rows and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast hint if a count allows it; otherwise Spark chooses the join."""
+    return F.broadcast(df) if is_small(df) else df
