@@ -15,6 +15,7 @@ from lakecast.operators.windows import (
     add_trailing_means,
     drop_null_lags,
     drop_null_means,
+    split_if_long,
 )
 from lakecast.series import SeriesSpec
 from lakecast.session import cut_lineage
@@ -83,15 +84,26 @@ def fill_gaps(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def model_table(
-    series: DataFrame, spec: SeriesSpec, gap_fill: str | None = None, split_rows: int | None = None
+    series: DataFrame,
+    spec: SeriesSpec,
+    gap_fill: str | None = None,
+    split_rows: int | str | None = None,
 ) -> DataFrame:
     """Calendar, lags and averages; rows without full lags or without averages are dropped.
 
     Averages are taken over the rows the lag filter left, so a series loses its first
-    ``n_lags`` rows and one more.
+    ``n_lags`` rows and one more. The calendar is added after the lags: only the bare
+    series is shuffled, and the averages reuse its partitioning and order.
+
+    ``split_rows`` cuts long series into segments of that many rows; ``"auto"`` counts the
+    series first and cuts only if one is too long for a task (for materialised input).
     """
     if gap_fill not in (None, "zero"):
         raise ValueError("gap_fill is None or 'zero'")
     rows = fill_gaps(series, spec) if gap_fill else series
-    lagged = drop_null_lags(add_lags(add_calendar(rows, spec), spec, split_rows), spec)
-    return drop_null_means(add_trailing_means(lagged, spec, split_rows), spec)
+    if split_rows == "auto":
+        split_rows = split_if_long(rows, spec)
+    lagged = drop_null_lags(add_lags(rows, spec, split_rows), spec)
+    averaged = add_trailing_means(add_calendar(lagged, spec), spec, split_rows)
+    fixed = [c for c in rows.columns if c not in spec.calendar]
+    return drop_null_means(averaged, spec).select(*fixed, *spec.calendar, *spec.lags, *spec.means)

@@ -112,11 +112,11 @@ def encoded_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_table(encoded_daily(spark, sf_dir), DAILY)
+    return model_table(encoded_daily(spark, sf_dir), DAILY, split_rows="auto")
 
 
 def hourly_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_table(encoded_hourly(spark, sf_dir), HOURLY)
+    return model_table(encoded_hourly(spark, sf_dir), HOURLY, split_rows="auto")
 
 
 # --- the same in SQL --------------------------------------------------------------------

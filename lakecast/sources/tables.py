@@ -43,9 +43,15 @@ def write_partitioned(
     partition: str = "year",
     mode: str = "overwrite",
     fmt: str = "parquet",
+    spread: bool = False,
 ) -> None:
-    """Full load by partition column; hot partitions are split over several files."""
-    rows = df.hint("rebalance", partition)
+    """Full load by partition column, without a shuffle.
+
+    That suits input in rough time order, where a task meets one or two partitions. For
+    input in any order ``spread`` shuffles by partition first, splitting hot ones, so that
+    files stay few and even.
+    """
+    rows = df.hint("rebalance", partition) if spread else df
     rows.write.format(fmt).mode(mode).partitionBy(partition).save(path)
 
 

@@ -53,6 +53,8 @@ def _fact(time_type: T.DataType, measure_type: T.DataType) -> T.StructType:
 RAW_SCHEMA = _fact(T.LongType(), T.StringType())
 # As landed in JSON: ISO text.
 JSON_SCHEMA = _fact(T.StringType(), T.StringType())
+# As landed in the month lake: a timestamp, text measures.
+LAKE_SCHEMA = _fact(T.TimestampType(), T.StringType())
 # Validated fact.
 SILVER_SCHEMA = _fact(T.TimestampType(), T.FloatType())
 

@@ -18,7 +18,13 @@ from lakecast.operators.encoding import (
     rank_labels_by_range,
 )
 from lakecast.operators.projections import cast_measures, cast_to_schema, filter_last_k
-from lakecast.operators.windows import add_lags, add_trailing_means, drop_null_lags, number_rows
+from lakecast.operators.windows import (
+    add_lags,
+    add_trailing_means,
+    drop_null_lags,
+    number_rows,
+    split_if_long,
+)
 from lakecast.plans.features import add_calendar, fill_gaps, group_daily, group_hourly, model_table
 from lakecast.series import DAILY, HOURLY, SeriesSpec
 
@@ -121,6 +127,9 @@ def test_split_series_give_the_same_features(spark):
     whole = sorted(map(str, model_table(df, spec).collect()))
     for size in (7, 10, 64, 5000):
         assert sorted(map(str, model_table(df, spec, split_rows=size).collect())) == whole
+    assert split_if_long(df, spec) is None
+    assert split_if_long(df, spec, limit=499) == 499
+    assert split_if_long(df.limit(0), spec) is None
     with pytest.raises(ValueError, match="at least 7"):
         add_trailing_means(df, spec, split_rows=6)
     ranks = number_rows(df, spec).groupBy("k").agg(F.max("_rank"), F.count_distinct("_rank"))
