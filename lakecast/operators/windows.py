@@ -12,10 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakecast.operators.projections import drop_nulls
 from lakecast.series import SeriesSpec
 
+# Resolution of summed sines and cosines: fine to 1e-13, and 2 million rows fit a bigint.
+WAVE_SCALE = 2**42
+
 # A window over this many rows of all features stays well below a task's memory.
 SPLIT_ABOVE = 250_000
 
@@ -31,28 +35,25 @@ def number_rows(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Row number within each series (from 0) without sorting a whole series in one task.
 
     Rows are numbered inside a calendar period, then shifted by the rows of all earlier
-    periods, which are counted by a partial aggregate first.
+    periods, which are counted by a partial aggregate first. Keys and period form one
+    struct: structs with equal null fields are equal, and the numbering and the join then
+    share a partitioning.
     """
     period = F.trunc(F.col(spec.time).cast("date"), "year" if spec.unit == "day" else "month")
-    dated = df.withColumn("_period", period)
-    sizes = dated.groupBy(*spec.keys, "_period").agg(F.count(F.lit(1)).alias("_size"))
+    dated = df.withColumn("_part", F.struct(*spec.keys, period.alias("_period")))
+    sizes = dated.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = (
-        Window.partitionBy(*spec.keys)
-        .orderBy("_period")
+        Window.partitionBy(*(F.col("_part")[k] for k in spec.keys))
+        .orderBy(F.col("_part")["_period"])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sizes.select(
-        *(F.col(k).alias(f"_o_{k}") for k in spec.keys),
-        F.col("_period").alias("_o_period"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy(*spec.keys, "_period").orderBy(spec.time)
-    numbered = dated.withColumn("_in_period", F.row_number().over(inside) - 1)
-    match = F.col("_period").eqNullSafe(F.col("_o_period"))
-    for k in spec.keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return numbered.join(offsets, match).select(
-        *df.columns, (F.col("_offset") + F.col("_in_period")).alias(_RANK)
+    inside = Window.partitionBy("_part").orderBy(spec.time)
+    numbered = dated.withColumn("_in_part", F.row_number().over(inside) - 1)
+    return numbered.join(offsets, "_part").select(
+        *df.columns, (F.col("_offset") + F.col("_in_part")).alias(_RANK)
     )
 
 
@@ -66,13 +67,13 @@ def split_if_long(df: DataFrame, spec: SeriesSpec, limit: int = SPLIT_ABOVE) ->
 def over_series(
     df: DataFrame,
     spec: SeriesSpec,
-    build: Callable[[WindowSpec], list[Column]],
+    extend: Callable[[DataFrame, WindowSpec], DataFrame],
     reach: int,
     split_rows: int | None = None,
 ) -> DataFrame:
-    """Adds ``build(window)``; its expressions look back at most ``reach`` rows."""
+    """``extend(df, window)``, whose window expressions look back at most ``reach`` rows."""
     if split_rows is None:
-        return df.select("*", *build(series_window(spec)))
+        return extend(df, series_window(spec))
     if split_rows < reach:
         raise ValueError(f"split_rows must be at least {reach}")
     home = F.floor(F.col(_RANK) / split_rows)
@@ -82,40 +83,76 @@ def over_series(
         *df.columns, home.alias(_HOME), F.explode(segments).alias(_SEGMENT)
     )
     window = Window.partitionBy(*spec.keys, _SEGMENT).orderBy(spec.time)
-    return (
-        pieces.select("*", *build(window))
-        .where(F.col(_SEGMENT) == F.col(_HOME))
-        .drop(_SEGMENT, _HOME)
-    )
+    extended = extend(pieces, window)
+    return extended.where(F.col(_SEGMENT) == F.col(_HOME)).drop(_SEGMENT, _HOME)
 
 
 def add_lags(df: DataFrame, spec: SeriesSpec, split_rows: int | None = None) -> DataFrame:
     """Lag k is the value k observed rows earlier; gaps in the calendar are not filled."""
 
-    def build(window: WindowSpec) -> list[Column]:
-        return [F.lag(spec.value, k).over(window).alias(name) for k, name in enumerate(spec.lags, 1)]
+    def extend(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        lags = [F.lag(spec.value, k).over(window) for k in range(1, spec.n_lags + 1)]
+        return rows.select("*", *(c.alias(n) for c, n in zip(lags, spec.lags, strict=True)))
 
-    return over_series(df, spec, build, spec.n_lags, split_rows)
+    return over_series(df, spec, extend, spec.n_lags, split_rows)
 
 
 def drop_null_lags(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return drop_nulls(df, spec.lags)
 
 
-def _means(spec: SeriesSpec, window: WindowSpec, including_current: bool) -> list[Column]:
-    out = []
-    for suffix, rows in spec.windows:
-        frame = window.rowsBetween(1 - rows, 0) if including_current else window.rowsBetween(-rows, -1)
-        out += [F.avg(c).over(frame).alias(f"{c}_{suffix}") for c in spec.averaged]
-    return out
+def _means(
+    df: DataFrame, spec: SeriesSpec, split_rows: int | None, including_current: bool
+) -> DataFrame:
+    """Averages over the last rows, from running sums.
+
+    A sliding frame would be summed up anew for every row; the difference of two running
+    sums costs the same for any frame length. The sums are of whole numbers, sines and
+    cosines as multiples of ``1 / WAVE_SCALE``, so a row's averages do not depend on where
+    its series or segment begins. A measure that is no whole number keeps its sliding frame.
+    """
+    whole = isinstance(df.schema[spec.value].dataType, T.IntegralType)
+    parts = {part for part, _ in spec.cycles}
+    summed = {}
+    for c in spec.averaged:
+        if c in parts or (c == spec.value and whole):
+            summed[c] = F.col(c).cast("bigint")
+        elif c != spec.value:
+            summed[c] = F.rint(F.col(c) * WAVE_SCALE).cast("bigint")
+    counted = {c: c if c == spec.value else spec.calendar[0] for c in summed}
+    last = 0 if including_current else -1
+
+    def extend(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        so_far = window.rowsBetween(Window.unboundedPreceding, last)
+        running = rows.select(
+            "*",
+            *(F.sum(x).over(so_far).alias(f"_sum_{c}") for c, x in summed.items()),
+            *(F.count(c).over(so_far).alias(f"_n_{c}") for c in dict.fromkeys(counted.values())),
+        )
+
+        def change(name: str, k: int) -> Column:
+            return F.col(name) - F.coalesce(F.lag(name, k).over(window), F.lit(0))
+
+        means = []
+        for suffix, k in spec.windows:
+            for c in spec.averaged:
+                if c in summed:
+                    unit = 1 if c in parts or c == spec.value else WAVE_SCALE
+                    n = change(f"_n_{counted[c]}", k)
+                    mean = F.try_divide(change(f"_sum_{c}", k), n * F.lit(float(unit)))
+                else:
+                    mean = F.avg(c).over(window.rowsBetween(last + 1 - k, last))
+                means.append(mean.alias(f"{c}_{suffix}"))
+        return running.select(*rows.columns, *means)
+
+    return over_series(df, spec, extend, max(k for _, k in spec.windows), split_rows)
 
 
 def add_trailing_means(
     df: DataFrame, spec: SeriesSpec, split_rows: int | None = None
 ) -> DataFrame:
     """Training averages: over the rows before the current one, fewer at a series' start."""
-    reach = max(rows for _, rows in spec.windows)
-    return over_series(df, spec, lambda w: _means(spec, w, False), reach, split_rows)
+    return _means(df, spec, split_rows, including_current=False)
 
 
 def drop_null_means(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -126,5 +163,4 @@ def add_serving_means(
     df: DataFrame, spec: SeriesSpec, split_rows: int | None = None
 ) -> DataFrame:
     """Serving averages: the frame ends at the current row, as seen from the next step."""
-    reach = max(rows for _, rows in spec.windows)
-    return over_series(df, spec, lambda w: _means(spec, w, True), reach, split_rows)
+    return _means(df, spec, split_rows, including_current=True)

@@ -13,17 +13,33 @@ BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
+# Feature rows are wide. HotSpot never compiles methods above 8000 bytes of bytecode, so a
+# generated method beyond that runs interpreted, several times slower; with this limit
+# Spark falls back to smaller pieces of generated code instead.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_runtime_settings(spark: SparkSession) -> None:
+    """The settings above, for a session built elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def build_session(
     app_name: str = "lakecast", master: str | None = None, **conf: str
 ) -> SparkSession:
     """Session with UTC, adaptive execution and checkpoint clean-up; ``conf`` keys use ``__`` for dots."""
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    for key, value in RUNTIME_SETTINGS.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
