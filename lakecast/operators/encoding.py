@@ -59,9 +59,8 @@ def rank_labels_by_range(labels: DataFrame, partitions: int) -> DataFrame:
     )
     inside = Window.partitionBy("column", "range").orderBy(F.col("label").asc_nulls_first())
     ranked = ranged.withColumn("rank", F.row_number().over(inside))
-    return ranked.join(F.broadcast(offsets) if partitions <= 10_000 else offsets, ["column", "range"]).select(
-        "column", "label", (F.col("offset") + F.col("rank")).cast("bigint").alias("code")
-    )
+    code = (F.col("offset") + F.col("rank")).cast("bigint").alias("code")
+    return ranked.join(offsets, ["column", "range"]).select("column", "label", code)
 
 
 def build_code_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -70,9 +69,9 @@ def build_code_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The distinct labels are counted before the ranking is chosen.
     """
     labels = cut_lineage(distinct_labels(df, columns))
-    if labels.limit(RANK_IN_ONE_TASK + 1).count() <= RANK_IN_ONE_TASK:
-        return cut_lineage(rank_labels(labels))
-    return cut_lineage(rank_labels_by_range(labels, max(labels.rdd.getNumPartitions(), 200)))
+    tasks = labels.count() // RANK_IN_ONE_TASK + 1
+    ranked = rank_labels(labels) if tasks == 1 else rank_labels_by_range(labels, tasks)
+    return cut_lineage(ranked)
 
 
 def codes_of(code_table: DataFrame, column: str) -> DataFrame:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakecast.functions.numeric import PREDICTION_CASTS
 from lakecast.functions.temporal import calendar_columns, shift
@@ -22,15 +23,7 @@ from lakecast.session import cut_lineage
 
 Predictor = PipelineModel | Callable[[DataFrame], DataFrame]
 
-_HIST, _LAGS, _OUT, _LAST = "_hist", "_lags", "_out", "_last"
-_UNIT = {"day": 1, "hour": 3_600_000_000}
-
-
-def _literal(clock: int, spec: SeriesSpec) -> Column:
-    """Clock reading (epoch days or microseconds) as a literal of the time column's type."""
-    if spec.unit == "day":
-        return F.date_from_unix_date(F.lit(clock))
-    return F.timestamp_micros(F.lit(clock))
+_HIST, _LAGS, _OUT, _LAST, _NEXT = "_hist", "_lags", "_out", "_last", "_next"
 
 
 def _reading(t: Column, spec: SeriesSpec) -> Column:
@@ -54,8 +47,8 @@ def _since(oldest: Column) -> Column:
 def series_state(table: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Per series: last time, the rows of the last ``history`` units, and the next step's lags.
 
-    At most ``history`` rows of a series can lie in that many units, so a rank limit,
-    applied before any shuffle, bounds what is collected per series.
+    A series has one row per unit, so at most ``history`` rows lie in that many units, and
+    a rank limit applied before any shuffle bounds what is collected per series.
     """
     newest_first = Window.partitionBy(*spec.keys).orderBy(F.col(spec.time).desc())
     recent = (
@@ -77,7 +70,6 @@ class LiveState:
     """State of the series that reach the latest time, and of those that ended before."""
 
     rows: DataFrame
-    clock: int
     ended: DataFrame
 
 
@@ -92,7 +84,10 @@ def live_state(table: DataFrame, spec: SeriesSpec) -> LiveState | None:
     if clock is None:
         return None
     live, ended = state.where(reading == clock), state.where(reading < clock)
-    return LiveState(live.drop(_LAST), clock, ended.select(*spec.keys, F.col(_LAST).alias(spec.time)))
+    return LiveState(
+        live.withColumn(_NEXT, shift(F.col(_LAST), 1, spec.unit)).drop(_LAST),
+        ended.select(*spec.keys, F.col(_LAST).alias(spec.time)),
+    )
 
 
 def _mean(entries: str, name: str) -> Column:
@@ -101,28 +96,51 @@ def _mean(entries: str, name: str) -> Column:
     )
 
 
-def step_features(state: DataFrame, spec: SeriesSpec, clock: int) -> DataFrame:
-    """All features of the step at ``clock``, next to the state columns."""
-    t = _literal(clock, spec)
-    size = F.size(_HIST)
-    tails = {
-        f"_tail_{suffix}": F.slice(_HIST, F.greatest(size - rows + 1, F.lit(1)), F.least(size, F.lit(rows)))
-        for suffix, rows in spec.windows
-    }
-    calendar = calendar_columns(t, spec.cycles)
-    held = [c for c in (_HIST, _LAGS, _OUT) if c in state.columns]
-    return state.withColumns(tails).select(
-        t.alias(spec.time),
-        *spec.keys,
-        *(calendar[c].alias(c) for c in spec.calendar),
-        *(F.col(_LAGS)[k].alias(name) for k, name in enumerate(spec.lags)),
-        *(
-            _mean(f"`_tail_{suffix}`", c).alias(f"{c}_{suffix}")
-            for suffix, _ in spec.windows
-            for c in spec.averaged
-        ),
-        *held,
-    )
+class Step:
+    """The expressions of one step, built once and applied to the state again and again."""
+
+    def __init__(self, spec: SeriesSpec, value_type: T.DataType, cast: str) -> None:
+        self.spec = spec
+        size = F.size(_HIST)
+        self.tails = {
+            f"_tail_{suffix}": F.slice(
+                _HIST, F.greatest(size - rows + 1, F.lit(1)), F.least(size, F.lit(rows))
+            )
+            for suffix, rows in spec.windows
+        }
+        calendar = calendar_columns(F.col(_NEXT), spec.cycles)
+        self.inputs = [
+            F.col(_NEXT).alias(spec.time),
+            *spec.keys,
+            *(calendar[c].alias(c) for c in spec.calendar),
+            *(F.col(_LAGS)[k].alias(name) for k, name in enumerate(spec.lags)),
+            *(
+                _mean(f"`_tail_{suffix}`", c).alias(f"{c}_{suffix}")
+                for suffix, _ in spec.windows
+                for c in spec.averaged
+            ),
+        ]
+        self.result = [
+            spec.time, *spec.keys, _HIST, _LAGS, _OUT,
+            PREDICTION_CASTS[cast](F.col("prediction")).alias("prediction"),
+        ]
+        t, y = F.col(spec.time), F.col("prediction").cast(value_type)
+        self.moved = [
+            *spec.keys,
+            shift(t, 1, spec.unit).alias(_NEXT),
+            F.concat(_since(shift(t, 1 - spec.history, spec.unit)), F.array(_entry(t, y, spec))).alias(_HIST),
+            F.slice(F.concat(F.array(y), F.col(_LAGS)), 1, spec.n_lags).alias(_LAGS),
+            F.concat(_OUT, F.array(F.struct(t.alias("t"), F.col("prediction")))).alias(_OUT),
+        ]
+
+    def features(self, state: DataFrame) -> DataFrame:
+        """All features of the next step, next to the state columns."""
+        held = [c for c in (_HIST, _LAGS, _OUT) if c in state.columns]
+        return state.withColumns(self.tails).select(*self.inputs, *held)
+
+    def advance(self, scored: DataFrame) -> DataFrame:
+        """The state after the step: the prediction joins the history and becomes lag 1."""
+        return scored.select(*self.result).select(*self.moved)
 
 
 def next_step_input(table: DataFrame, spec: SeriesSpec, keep_time: bool = False) -> DataFrame:
@@ -131,7 +149,8 @@ def next_step_input(table: DataFrame, spec: SeriesSpec, keep_time: bool = False)
     columns = ([spec.time] if keep_time else []) + list(spec.features)
     if live is None:
         return table.select(*columns).limit(0)
-    return step_features(live.rows, spec, live.clock + _UNIT[spec.unit]).select(*columns)
+    step = Step(spec, table.schema[spec.value].dataType, "truncate")
+    return step.features(live.rows).select(*columns)
 
 
 def _score(predictor: Predictor, features: DataFrame) -> DataFrame:
@@ -164,34 +183,18 @@ def recursive_forecast(
     """
     if cast not in PREDICTION_CASTS:
         raise ValueError(f"cast must be one of {sorted(PREDICTION_CASTS)}")
-    value_type = table.schema[spec.value].dataType
     live = live_state(table, spec)
     if live is None or steps < 1:
         return table.select(
             spec.time, *spec.keys, F.lit(None).cast("bigint").alias("prediction")
         ).limit(0)
     time_type = "date" if spec.unit == "day" else "timestamp"
-    state = live.rows.withColumn(
-        _OUT, F.array().cast(f"array<struct<t:{time_type},prediction:bigint>>")
-    )
-    clock = live.clock
-    for step in range(1, steps + 1):
-        clock += _UNIT[spec.unit]
-        scored = _score(predictor, step_features(state, spec, clock))
-        whole = scored.select(
-            *spec.keys, _HIST, _LAGS, _OUT,
-            PREDICTION_CASTS[cast](F.col("prediction")).alias("prediction"),
-        )
-        t, y = _literal(clock, spec), F.col("prediction").cast(value_type)
-        oldest = _literal(clock - (spec.history - 1) * _UNIT[spec.unit], spec)
-        kept = _since(oldest)
-        state = whole.select(
-            *spec.keys,
-            F.concat(kept, F.array(_entry(t, y, spec))).alias(_HIST),
-            F.slice(F.concat(F.array(y), F.col(_LAGS)), 1, spec.n_lags).alias(_LAGS),
-            F.concat(_OUT, F.array(F.struct(t.alias("t"), F.col("prediction")))).alias(_OUT),
-        )
-        if step % checkpoint_every == 0 and step < steps:
+    none_yet = F.array().cast(f"array<struct<t:{time_type},prediction:bigint>>")
+    state = live.rows.withColumn(_OUT, none_yet)
+    step = Step(spec, table.schema[spec.value].dataType, cast)
+    for n in range(1, steps + 1):
+        state = step.advance(_score(predictor, step.features(state)))
+        if n % checkpoint_every == 0 and n < steps:
             state = cut_lineage(state)
     # The outer form keeps the optimizer from pushing a "not empty" filter into every step.
     return state.select(*spec.keys, F.inline_outer(_OUT).alias("t", "prediction")).select(

@@ -215,8 +215,8 @@ def _sql_backtest(series, spec, seed, actual, steps, include_seed=False) -> str:
     )
 
 
-_DAILY_TEST = (DAILY_SEED, DAILY_ACTUAL, DAILY_TEST_STEPS)
-_HOURLY_TEST = (HOURLY_SEED, HOURLY_ACTUAL, HOURLY_TEST_STEPS)
+DAILY_TEST = (DAILY_SEED, DAILY_ACTUAL, DAILY_TEST_STEPS)
+HOURLY_TEST = (HOURLY_SEED, HOURLY_ACTUAL, HOURLY_TEST_STEPS)
 
 QUERIES = [
     Query("next_step_input_daily", _next_input(daily_model, DAILY), _sql_next_input(SQL_DAILY, DAILY)),
@@ -229,12 +229,12 @@ QUERIES = [
     Query("recursive_forecast_linear_hourly", _recursive(hourly_model, HOURLY, HOURLY_STEPS),
           _sql_recursive(SQL_HOURLY, HOURLY, HOURLY_STEPS)),
     Query("forecast_only", _forecast_only, _sql_recursive(SQL_DAILY, DAILY, 2)),
-    Query("backtest_linear_daily", _backtest(daily_model, DAILY, *_DAILY_TEST),
-          _sql_backtest(SQL_DAILY, DAILY, *_DAILY_TEST)),
-    Query("backtest_linear_daily_with_seed", _backtest(daily_model, DAILY, *_DAILY_TEST, True),
-          _sql_backtest(SQL_DAILY, DAILY, *_DAILY_TEST, True)),
-    Query("backtest_linear_hourly", _backtest(hourly_model, HOURLY, *_HOURLY_TEST),
-          _sql_backtest(SQL_HOURLY, HOURLY, *_HOURLY_TEST)),
+    Query("backtest_linear_daily", _backtest(daily_model, DAILY, *DAILY_TEST),
+          _sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST)),
+    Query("backtest_linear_daily_with_seed", _backtest(daily_model, DAILY, *DAILY_TEST, True),
+          _sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST, True)),
+    Query("backtest_linear_hourly", _backtest(hourly_model, HOURLY, *HOURLY_TEST),
+          _sql_backtest(SQL_HOURLY, HOURLY, *HOURLY_TEST)),
     Query("joined_actuals", _joined_actuals,
           f"WITH {sql_model_ctes(SQL_DAILY, DAILY)} SELECT "
           f"{sql_edge(DAILY, (DAILY.time, *DAILY.keys, 'ridership_lag_1'))}, ridership AS actual_ridership FROM model"

@@ -34,16 +34,17 @@ from lakecast.queries.common import (
     hourly_model,
 )
 from lakecast.plans.features import encode_series, model_table
-from lakecast.queries.forecasts import DAILY_STEPS, _DAILY_TEST, _HOURLY_TEST
+from lakecast.queries.forecasts import DAILY_STEPS, DAILY_TEST, HOURLY_TEST
 from lakecast.session import cut_lineage, scratch_path
 
 CUTOFF = {"transit_date": "2001-01-01", "transit_timestamp": "2024-01-24"}
 FORECAST_TREES, FORECAST_DEPTH = 20, 6
 
 
-def _table(build, spark, sf_dir):
-    """The model table, kept: training reads it many times."""
-    return cut_lineage(build(spark, sf_dir))
+def _table(build, spec, spark, sf_dir):
+    """The model table, kept and spread over all cores: training reads it many times."""
+    cores = spark.sparkContext.defaultParallelism
+    return cut_lineage(build(spark, sf_dir).repartition(cores, spec.time))
 
 
 def _small_forest(train, spec):
@@ -54,7 +55,7 @@ def _fit(build, spec, regressor):
     """Hold-out metrics of one regressor next to those of repeating the last value."""
 
     def run(spark, sf_dir):
-        model = _table(build, spark, sf_dir)
+        model = _table(build, spec, spark, sf_dir)
         train, test = temporal_split(model, spec.time, CUTOFF[spec.time])
         features = feature_columns(model, {spec.time, spec.value, *spec.carried})
         fitted = evaluate(fit(train, features, regressor()), test, spec.value)
@@ -71,7 +72,7 @@ def _fit(build, spec, regressor):
 def _publish_best(spark, sf_dir):
     """Test predictions of the better of two models, labels decoded."""
     series, codes = encode_series(daily_series(spark, sf_dir), DAILY_LABELS)
-    model = cut_lineage(model_table(series, DAILY))
+    model = _table(lambda *_: model_table(series, DAILY), DAILY, spark, sf_dir)
     regressors = {
         "boosted": boosted_trees("ridership", max_depth=4, rounds=5, engine="spark"),
         "forest": random_forest("ridership", trees=FORECAST_TREES, max_depth=FORECAST_DEPTH),
@@ -85,7 +86,7 @@ def _predict_next(build, spec):
     """A model is saved, loaded, and asked for the next step."""
 
     def run(spark, sf_dir):
-        model = _table(build, spark, sf_dir)
+        model = _table(build, spec, spark, sf_dir)
         path = scratch_path(spark, "model")
         save_model(_small_forest(model, spec), path)
         return comparable(predict_next(model, spec, load_model(path)))
@@ -95,7 +96,7 @@ def _predict_next(build, spec):
 
 def _recursive(build, spec, steps):
     def run(spark, sf_dir):
-        model = _table(build, spark, sf_dir)
+        model = _table(build, spec, spark, sf_dir)
         return comparable(recursive_forecast(model, spec, _small_forest(model, spec), steps))
 
     return run
@@ -103,7 +104,7 @@ def _recursive(build, spec, steps):
 
 def _backtest(build, spec, seed, actual, steps):
     def run(spark, sf_dir):
-        model = _table(build, spark, sf_dir)
+        model = _table(build, spec, spark, sf_dir)
         train, _ = temporal_split(model, spec.time, actual[0])
         return comparable(backtest(model, spec, _small_forest(train, spec), seed, actual, steps))
 
@@ -120,6 +121,6 @@ QUERIES = [
     Query("predict_next_hourly", _predict_next(hourly_model, HOURLY)),
     Query("recursive_forecast_daily", _recursive(daily_model, DAILY, DAILY_STEPS)),
     Query("recursive_forecast_hourly", _recursive(hourly_model, HOURLY, 1)),
-    Query("backtest_daily", _backtest(daily_model, DAILY, *_DAILY_TEST)),
-    Query("backtest_hourly", _backtest(hourly_model, HOURLY, *_HOURLY_TEST)),
+    Query("backtest_daily", _backtest(daily_model, DAILY, *DAILY_TEST)),
+    Query("backtest_hourly", _backtest(hourly_model, HOURLY, *HOURLY_TEST)),
 ]
