@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +106,12 @@ def since_high_water(df: DataFrame, time: str, high_water) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.na.drop(subset=list(columns))
+    """Rows with no null in ``columns``.
+
+    One condition per column: a single condition over all of them, as ``na.drop`` makes,
+    has 2^n rewritings once the columns are computed ones, and the optimizer lists them.
+    """
+    return df.where(reduce(and_, (F.col(c).isNotNull() for c in columns), F.lit(True)))
 
 
 def on_date(df: DataFrame, time: str, date: str) -> Column:
