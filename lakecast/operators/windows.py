@@ -135,11 +135,12 @@ def _means(
 
         means = []
         for suffix, k in spec.windows:
+            sizes = {c: change(f"_n_{c}", k) for c in dict.fromkeys(counted.values())}
+            waves = {c: n * F.lit(float(WAVE_SCALE)) for c, n in sizes.items()}
             for c in spec.averaged:
                 if c in summed:
-                    unit = 1 if c in parts or c == spec.value else WAVE_SCALE
-                    n = change(f"_n_{counted[c]}", k)
-                    mean = F.try_divide(change(f"_sum_{c}", k), n * F.lit(float(unit)))
+                    n = sizes if c in parts or c == spec.value else waves
+                    mean = F.try_divide(change(f"_sum_{c}", k), n[counted[c]])
                 else:
                     mean = F.avg(c).over(window.rowsBetween(last + 1 - k, last))
                 means.append(mean.alias(f"{c}_{suffix}"))
