@@ -13,7 +13,7 @@ from lakecast.session import cut_lineage, scratch_path
 #: A word is a run of anything but ASCII white space; ``bytes.split()`` finds the same words in UTF-8.
 WORD = r"[^\x20\x09-\x0D]+"
 
-ARROW_BATCH_BYTES = 16 * 1024 * 1024
+ARROW_BATCH_BYTES = 4 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -8,6 +8,8 @@ no sequence crosses documents and none holds padding; batches are made of equal
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,8 @@ from lakecast.llm.common import byte_texts
 
 SEQUENCE = 4096
 END_ID = 2
-#: Words a task remembers with their ids before it starts over; bounds a worker's memory.
-WORDS_KEPT = 400_000
+#: Words a worker remembers with their ids; bounds its memory.
+WORDS_KEPT = 700_000
 
 SCHEMA = "{key} {key_type}, start long, length long, doc_tokens long, ids binary"
 
@@ -39,47 +41,55 @@ class WordIds:
     """Ids of whole texts from ids of their words.
 
     For tokenizers that drop white space and never merge across it: the ids of a text are then
-    those of its words in turn. Each word is encoded once and remembered.
+    those of its words in turn. The first ``WORDS_KEPT`` distinct words are remembered, so frequent ones are
+    encoded once; any other word is encoded once for each batch of texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
         self._place: dict[bytes, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
-        self._used = 0
         self._start = np.zeros(1, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        # Tokenizers return no ids for white space alone, so the words themselves suffice.
-        found = self._tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        each = [e.ids for e in found]
-        lengths = np.fromiter(map(len, each), np.int64, len(each))
-        total = self._used + int(lengths.sum())
+        each = [e.ids for e in self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        ends = self._start[-1] + np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
+        used, total = int(self._start[-1]), int(ends[-1])
         if total > len(self._ids):
-            self._ids = np.concatenate([self._ids[: self._used], np.empty(2 * total, np.uint32)])
-        self._ids[self._used : total] = np.fromiter((i for e in each for i in e), np.uint32, total - self._used)
-        self._start = np.concatenate([self._start, self._used + np.cumsum(lengths)])
-        self._used = total
+            self._ids = np.concatenate([self._ids[:used], np.empty(2 * total, np.uint32)])
+        self._ids[used:total] = np.fromiter(chain.from_iterable(each), np.uint32, total - used)
+        self._start = np.concatenate([self._start, ends])
         first = len(self._place)
         self._place.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
+    def _forget(self, words: list[bytes]) -> None:
+        """Forgets the last words learnt, as far as there are too many."""
+        kept = max(WORDS_KEPT, len(self._place) - len(words))
+        for word in words[kept - len(self._place) + len(words) :]:
+            del self._place[word]
+        self._start = self._start[: len(self._place) + 1]
+
+    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        split = [text.split() for text in texts]
+        new = list(set().union(*split).difference(self._place))
+        if new:
+            self._learn(new)
+        for words in split:
+            at = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
+            first = self._start[at]
+            count = self._start[at + 1] - first
+            shift = np.repeat(first - (np.cumsum(count) - count), count)
+            yield self._ids[np.arange(len(shift)) + shift]
         if len(self._place) > WORDS_KEPT:
-            self._forget()
-        place = self._place
-        if new := [w for w in set(words) if w not in place]:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
-        first, count = self._start[at], self._start[at + 1] - self._start[at]
-        ends = np.cumsum(count)
-        shift = np.repeat(first - (ends - count), count)
-        return self._ids[np.arange(len(shift)) + shift]
+            self._forget(new)
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per worker, which lives longer than a task."""
+    return WordIds(path)
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", longest: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -88,7 +98,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     ``ids`` are packed unsigned 32-bit little-endian numbers (``unpacked`` reads them),
     ``doc_tokens`` counts the document's ids with the end id. ``length`` is the bucket: rows of
     equal length make a batch without padding. ``sequence_id`` is unique, ``offset`` 0, as a
-    sequence is one piece. Texts are encoded whole, one document at a time.
+    sequence is one piece. Texts are encoded whole.
 
     Nulls: a null or empty text has the end id alone; a null key stays null. Repeated rows are
     packed as often as they occur. Very long texts give many full sequences. An empty table
@@ -98,11 +108,12 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     out = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text_"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = WordIds(tokenizer), np.array([end_id], np.uint32)
+        ids_of, end = word_ids(tokenizer), np.array([end_id], np.uint32)
         for batch in batches:
             keys, block, size = batch.column(0), [], 0
-            for row, content in enumerate(byte_texts(batch.column(1))):
-                ids = np.concatenate([ids_of(content), end]) if content else end
+            texts = [t or b"" for t in byte_texts(batch.column(1))]
+            for row, ids in enumerate(ids_of(texts)):
+                ids = np.concatenate([ids, end])
                 for start, length in pieces_of(len(ids), longest):
                     block.append((row, start, length, len(ids), ids[start : start + length].tobytes()))
                     size += length
