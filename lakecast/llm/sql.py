@@ -68,6 +68,18 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
 FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source JOIN runs r ON d.source IS NOT DISTINCT FROM r.source
 """
 
+OP2 = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.parts AS DOUBLE[]), CAST(c.parts AS DOUBLE[])) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id AND len(q.parts) = len(c.parts) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 OP5 = """
 WITH pages_ AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
