@@ -49,7 +49,7 @@ def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
     block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // rows))))
     placed = vectors.select(F.size("parts").alias("dims"), block.alias("block"), "vec_id", "parts")
 
-    def pack(key, group: pa.Table) -> pa.Table:
+    def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         group = group.sort_by("vec_id")
         flat = group.column("parts").combine_chunks().flatten()
         return pa.table(

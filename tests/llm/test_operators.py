@@ -91,7 +91,7 @@ def test_outliers_of_awkward_rows(docs, rows, none):
 def test_top_k_equals_all_products(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, [float(v) for v in rng.integers(-3, 4, 6) / 16]) for i in range(300)]
-    vectors += [(300, None), (301, []), (302, [1.0, None, 0, 0, 0, 0]), (303, [float("nan")] * 6), (304, [float("inf")] * 6), (None, [1.0] * 6)]
+    vectors += [(300, None), (301, []), (302, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (303, [float("nan")] * 6), (304, [float("inf")] * 6), (None, [1.0] * 6)]
     vectors += [(305, [0.0] * 6), (306, [1.0, 2.0]), (307, [3.0, 1.0]), (20, vectors[20][1])]
     df = spark.createDataFrame([(*v, "x", 1) for v in vectors], "vec_id long, embedding array<double>, rank string, score int")
     ints = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all()]
