@@ -55,9 +55,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """A large table computed once, as Parquet in the shared folder: columns and filters are pruned when it is read."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    # Lets Spark drop the shuffle files that only the finished write needed.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a ``stored`` table that nothing reads any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

@@ -6,17 +6,19 @@ tokens are indexed singly. Frequent tokens are put into classes, prefixes are ex
 sets must share two tokens of one class, and combinations of two are indexed. Documents that
 meet in the index are compared by their whole sets.
 
-Equal sets are one node from the start. Within an index bucket a few members are compared with
-all others first; members of one component need no more comparing, so large groups of near copies cost
-a number of comparisons in proportion to their size, while dissimilar members are all compared.
+Equal sets are one node from the start, and index buckets with the same members are one bucket. Small
+buckets give pairs of nodes. Members of large buckets are compared in blocks: each node belongs to the
+largest of its buckets, its hub, and blocks of hubs that share a bucket meet; a pair of
+blocks returns only the links that hold its members together.
 """
 
 from __future__ import annotations
 
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecast.llm.common import byte_texts, components, kept, stored
+from lakecast.llm.common import byte_texts, components, discard, kept, stored
 from lakecast.session import broadcast_if_small
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -36,15 +38,16 @@ class Join:
 
     A token in more than ``rare`` sets is frequent. ``indexed``: share of the token space that is
     indexed, times the share of tokens in which similar sets may differ; documents with too few tokens there index all.
-    ``leaders``: members of a bucket compared with all others in the first round; eight times as
-    many in each further round. These settings change the work, not the result.
+    Buckets of more than ``small`` members are compared in blocks of about ``block``. These settings change the
+    work, not the result.
     """
 
     words: int = 3
     percent: int = 90
     rare: int = 256
     indexed: float = 1.6
-    leaders: int = 4
+    small: int = 16
+    block: int = 256
 
     def may_miss(self, n: int) -> int:
         """Tokens of a set of ``n`` that a similar set may lack."""
@@ -95,7 +98,7 @@ def _indexed(tokens: np.ndarray, join: Join) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, join: Join, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, hash`` of the text, ``n`` tokens, ``node`` (a 128-bit digest of the set) and the tokens that are ``indexed``."""
+    """``id, hash`` of the text, ``n`` tokens, a 128-bit ``digest`` of the set and the tokens that are ``indexed``."""
     kind = docs.schema[key].dataType.simpleString()
     whole = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), whole.alias("text"))
@@ -113,13 +116,13 @@ def sets_of(docs: DataFrame, join: Join, key: str = "doc_id", text: str = "text"
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *tokens]))),
                 ],
-                names=["id", "hash", "n", "node", "indexed"],
+                names=["id", "hash", "n", "digest", "indexed"],
             )
 
-    return rows.mapInArrow(digest, f"id {kind}, hash long, n long, node binary, indexed array<long>")
+    return rows.mapInArrow(digest, f"id {kind}, hash long, n long, digest binary, indexed array<long>")
 
 
-def signatures(n: int, n_low: int, n_high: int, tokens: list[int], sets: list[int], join: Join) -> list[bytes]:
+def signatures(n: int, n_low: int, n_high: int, tokens: list[int], sets: list[int], join: Join) -> list[int]:
     """Index keys of a set of ``n``: of its prefix, single rare tokens and combinations of frequent ones.
 
     ``tokens`` are its indexed tokens that other sets index too, ``sets`` in how many; ``n_low`` and ``n_high``
@@ -131,11 +134,11 @@ def signatures(n: int, n_low: int, n_high: int, tokens: list[int], sets: list[in
     low = [(count, token) for token, count in zip(tokens, sets, strict=True) if token % (1 << 64) < join.low]
     high = [(count, token) for token, count in zip(tokens, sets, strict=True) if token % (1 << 64) >= join.low]
     order: list[tuple[int, int]] = []
-    singles: list[bytes] = []
+    singles: list[int] = []
     # Tokens that no other set has need no key, but count as rare.
     for part, alone in ((sorted(low), n_low - len(low)), (sorted(high), n_high - len(high))):
         order += [(1, 0)] * alone + part
-    out: list[bytes] = []
+    out: list[int] = []
     for band in join.bands(n):
         left, classes, held = rest, join.classes(band), Counter()
         members: dict[int, list[int]] = {}
@@ -156,35 +159,46 @@ def signatures(n: int, n_low: int, n_high: int, tokens: list[int], sets: list[in
     return sorted({*singles, *out})
 
 
-def _key(band: int, *tokens: int) -> bytes:
-    return xxhash.xxh3_128_digest(np.array([band, *tokens], np.int64).tobytes())
+def _key(band: int, *tokens: int) -> int:
+    # Keys that collide by chance only bring more candidates.
+    return xxhash.xxh3_64_intdigest(struct.pack(f"<{1 + len(tokens)}q", band, *tokens))
 
 
 def _index(nodes: DataFrame, join: Join) -> DataFrame:
-    """``key, node, n``: the index over nodes that share tokens."""
+    """``key, node``: the index over nodes that share tokens."""
     tokens = nodes.select("node", F.explode("indexed").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     have = tokens.join(shared, "token").groupBy("node").agg(F.collect_list(F.struct("token", "sets")).alias("shared"))
-    low = F.lit(join.low - (1 << 64) if join.low >= 1 << 63 else join.low).cast("long")
     # Signed numbers: the low space is 0 to `low`, or all of them and the negatives up to it.
-    is_low = (lambda t: (t >= 0) | (t < low)) if join.low >= 1 << 63 else (lambda t: (t >= 0) & (t < low))
+    wide = join.low >= 1 << 63
+    low = F.lit(join.low - (1 << 64) if wide else join.low).cast("long")
+    is_low = (lambda t: (t >= 0) | (t < low)) if wide else (lambda t: (t >= 0) & (t < low))
     counts = nodes.select("node", "n", F.size("indexed").alias("all"), F.size(F.filter("indexed", is_low)).alias("low"))
     rows = have.join(counts, "node").select("node", "n", "low", (F.col("all") - F.col("low")).alias("high"), "shared.token", "shared.sets")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, n, n_low, n_high, tokens, sets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if found := signatures(n, n_low, n_high, tokens, sets, join):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found, pa.binary()), pa.array([node] * len(found), pa.binary()), pa.array([n] * len(found), pa.int64())],
-                        names=["key", "node", "n"],
-                    )
+            found = [signatures(*row[1:], join) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            nodes_ = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found])
+            flat = np.fromiter(chain.from_iterable(found), np.uint64, len(nodes_)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(nodes_, pa.int64())], names=["key", "node"])
 
-    return rows.mapInArrow(keys, "key binary, node binary, n long")
+    return rows.mapInArrow(keys, "key long, node long")
+
+
+def _buckets(index: DataFrame) -> DataFrame:
+    """``key, node, m``: index buckets of ``m`` > 1 members, one of those with the same members."""
+    members = index.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    kept_keys = members.where("m > 1").groupBy("m", "one", "two").agg(F.min("key").alias("key")).select("key", "m")
+    return index.join(kept_keys, "key").select("key", "node", "m")
 
 
 def _whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: str) -> DataFrame:
-    """``node, tokens`` of the given nodes, from one text of each."""
+    """``node, tokens`` of the given nodes, from a text of each (from all, if its row is repeated)."""
     whole = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), whole.alias("text"))
     wanted = nodes.select(F.col("id").alias("i"), F.col("hash").alias("h"), "node")
@@ -199,8 +213,26 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: s
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], names=["node", "tokens"]
             )
 
-    # A text may be there more than once.
-    return texts.mapInArrow(read, "node binary, tokens array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(read, "node long, tokens array<long>")
+
+
+def _pairs(buckets: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
+    """Pairs ``a < b`` of members of small buckets, of fitting sizes, whose indexed tokens allow a link."""
+    members = buckets.where(F.col("m") <= join.small).join(nodes.select("node", "n"), "node").select("key", "node", "n")
+    left = members.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"))
+    fitting = 100 * F.least("n", "n_a") >= join.percent * F.greatest("n", "n_a")
+    pairs = left.join(members, "key").where((F.col("a") < F.col("node")) & fitting).select("a", F.col("node").alias("b")).distinct()
+    # Of the tokens that a set indexes, a similar set lacks no more than of all of them; but tokens of the
+    # high space are no evidence against a set that does not index it.
+    side = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("indexed").alias(f"i_{c}")) for c in "ab"]
+    both = F.size(F.array_intersect("i_a", "i_b"))
+
+    def allows(own: str, other: str):
+        may_miss = F.expr(f"n_{own} - (n_{own} * {join.percent} + 99) div 100")
+        blind = (F.size(f"i_{own}") == F.col(f"n_{own}")) & (F.size(f"i_{other}") < F.col(f"n_{other}"))
+        return blind | (both >= F.size(f"i_{own}") - may_miss)
+
+    return pairs.join(side[1], "b").join(side[0], "a").where(allows("a", "b") & allows("b", "a")).select("a", "b")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -212,50 +244,104 @@ def _links(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(100 * both >= join.percent * either).select("a", "b")
 
 
+def holding_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
+    """Links between the sets of two blocks (or within one) that hold together what all links do.
+
+    Numbers count through ``left``, then ``right``. Intersections are products of the
+    blocks' incidence matrices, a few thousand tokens at a time; tokens of a single set have no part in them.
+    """
+    sets = left + (right or [])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[token] > 1
+    owner, token = owner[shared], np.unique(token[shared], return_inverse=True)[1]
+    n = len(left)
+    both = np.zeros((n, len(sets) - n if right is not None else n), np.float32)
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    for first in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
+        part = slice(*np.searchsorted(token, [first, first + 4096]))
+        matrix = np.zeros((len(sets), 4096), np.float32)
+        matrix[owner[part], token[part] - first] = 1
+        both += matrix[:n] @ (matrix[n:] if right is not None else matrix[:n]).T
+    sizes = np.array([len(s) for s in sets])
+    columns = sizes[n:] if right is not None else sizes[:n]
+    both = np.rint(both).astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:n, None] + columns - both)
+    shift = n if right is not None else 0
+    label, out = np.arange(len(sets)), []
+    for i in range(n):
+        others = np.flatnonzero(linked[i]) + shift
+        # One link to each group that is not yet held together with this set.
+        roots, at = np.unique(label[others], return_index=True)
+        for root, j in zip(roots, others[at], strict=True):
+            if root != label[i]:
+                out.append((i, int(j)))
+        label[np.isin(label, roots)] = label[i]
+    return out
+
+
+def _block_links(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Links ``a, b`` among the members of large buckets, enough to hold together all that are linked."""
+    large = buckets.where(F.col("m") > join.small)
+    hubs = kept(large.groupBy("node").agg(F.max(F.struct("m", "key")).alias("hub")).select("node", "hub.key", "hub.m").withColumnRenamed("key", "hub"))
+    # Hubs that share a bucket: whoever shares a large bucket is in two of these.
+    seen = large.join(hubs.select("node", "hub"), "node").select("key", "hub").distinct()
+    meet = (
+        seen.select("key", F.col("hub").alias("h1")).join(seen.select("key", F.col("hub").alias("h2")), "key").where("h1 <= h2").select("h1", "h2").distinct()
+    )
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / join.block)).cast("long")
+    placed = hubs.select("node", "hub", part.alias("part")).join(sets, "node").select("hub", "part", "node", "tokens")
+
+    def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        first = dict(zip(group.column("node").to_pylist(), group.column("tokens"), strict=True))
+        tokens = [t.values.to_numpy() for t in first.values()]
+        return pa.table(
+            {
+                "hub": pa.array([key[0].as_py()], pa.int64()),
+                "part": pa.array([key[1].as_py()], pa.int64()),
+                "nodes": pa.array([list(first)], pa.list_(pa.int64())),
+                "lengths": pa.array([[len(t) for t in tokens]], pa.list_(pa.int64())),
+                "tokens": pa.array([np.concatenate(tokens).astype("<i8").tobytes()], pa.binary()),
+            }
+        )
+
+    fields = ("hub", "part", "nodes", "lengths", "tokens")
+    blocks = stored(placed.groupBy("hub", "part").applyInArrow(pack, "hub long, part long, nodes array<long>, lengths array<long>, tokens binary"), "blocks")
+    one, two = (blocks.select(*(F.col(c).alias(f"{c}{k}") for c in fields)) for k in (1, 2))
+    units = meet.join(one, F.col("h1") == F.col("hub1")).join(two, F.col("h2") == F.col("hub2")).where("h1 < h2 OR part1 <= part2")
+    # Pairs of blocks are work of their own, whatever task their blocks came from.
+    units = units.select(*(f"{c}{k}" for k in (1, 2) for c in fields)).repartition("hub1", "part1", "hub2", "part2")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                nodes, sides = [], []
+                for k in (1, 2):
+                    ends = np.cumsum(row[f"lengths{k}"])[:-1]
+                    sides.append(np.split(np.frombuffer(row[f"tokens{k}"], "<i8"), ends))
+                    nodes += row[f"nodes{k}"]
+                within = (row["hub1"], row["part1"]) == (row["hub2"], row["part2"])
+                found = holding_links(sides[0], None if within else sides[1], join.percent)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], names=["a", "b"]
+                )
+
+    return units.mapInArrow(compare, "a long, b long")
+
+
 def node_components(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: str) -> DataFrame:
     """``node, root`` of all nodes that have a link to a different one.
 
-    ``nodes`` holds ``node, n, id, hash, indexed``, one row per set. Rounds go on until every two
-    members of every bucket are compared or known to be in one component.
+    ``nodes`` holds ``node, n, id, hash, indexed``, one row per set.
     """
-    index = stored(_index(nodes, join), "index")
-    sizes = kept(index.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-    # Members are led in the order of an even hash, the same in all buckets.
-    even = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    buckets = stored(index.join(sizes, "key").select("key", "node", "n", "m", even.alias("place")), "buckets")
-    involved = nodes.select("node", "id", "hash").join(buckets.select("node").distinct(), "node")
-    sets = stored(_whole_sets(docs, kept(involved), join, key, text), "sets")
-    roots, links, done, upto = None, None, 0, join.leaders
-    while True:
-        pairs = kept(_pairs(buckets, roots, done, upto, join))
-        found = kept(_links(pairs, sets, join))
-        if not found.isEmpty():
-            links = found if roots is None else found.union(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-            roots = kept(components(links))
-        done, upto = upto, 8 * upto
-        if buckets.where(F.col("m") > done).isEmpty() or _open(buckets, roots).where(F.col("m") > done).isEmpty():
-            return roots
-
-
-def _open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``buckets`` with the component of each member, without buckets of a single component."""
-    if roots is None:
-        return buckets.withColumn("root", F.col("node"))
-    rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    return rooted.join(several, "key")
-
-
-def _pairs(buckets: DataFrame, roots: DataFrame | None, done: int, upto: int, join: Join) -> DataFrame:
-    """Pairs of a round's leaders and all members after them, of fitting sizes and different components."""
-    members = _open(buckets, roots).where(F.col("m") > done)
-    place = F.col("place") * F.col("m")
-    leaders = members.where((place >= done) & (place < upto)).select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("p_a"), F.col("root").alias("r_a")
-    )
-    after = (F.col("place") > F.col("p_a")) | ((F.col("place") == F.col("p_a")) & (F.col("node") > F.col("a")))
-    fitting = 100 * F.least("n", "n_a") >= join.percent * F.greatest("n", "n_a")
-    return leaders.join(members, "key").where(after & fitting & (F.col("root") != F.col("r_a"))).select("a", F.col("node").alias("b")).distinct()
+    buckets = stored(_buckets(stored(_index(nodes, join), "index")), "buckets")
+    pairs = kept(_pairs(buckets, nodes, join))
+    large = buckets.where(F.col("m") > join.small).select("node")
+    involved = pairs.select("a").union(pairs.select("b")).union(large).toDF("node").distinct()
+    wanted = kept(nodes.select("node", "id", "hash").join(involved, "node"))
+    sets = stored(_whole_sets(docs, wanted, join, key, text), "sets")
+    return kept(components(_links(pairs, sets, join).union(_block_links(buckets, sets, join))))
 
 
 def linked(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,24 +354,25 @@ def linked(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     their own component. Null keys sort last: a component has a null key only if all its keys are null.
     Repeated rows are linked like any equal texts. An empty table gives an empty result. Other columns are ignored.
     """
-    rows = stored(sets_of(docs, join, key, text), "sets-of-documents")
+    wide = stored(sets_of(docs, join, key, text), "sets-of-documents")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash")
     nodes = (
-        rows.where("node IS NOT NULL")
-        .groupBy("node")
+        wide.where("digest IS NOT NULL")
+        .groupBy("digest")
         .agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("indexed").alias("indexed"))
-        .select("node", "n", "first.id", "first.hash", "indexed")
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "n", "first.id", "first.hash", "indexed")
     )
     nodes = stored(nodes, "nodes")
+    rows = stored(wide.select("id", "n", "digest"), "documents")
+    discard(wide)
     roots = node_components(docs, nodes, join, key, text)
-    firsts = nodes.select("node", F.struct(F.col("id").isNull().alias("last"), "id").alias("first"))
-    if roots is not None:
-        # The nodes of a component with the smallest key among them, then all nodes.
-        least = roots.join(firsts, "node").groupBy("root").agg(F.min("first").alias("least"))
-        moved = kept(roots.join(least, "root").select("node", "least"))
-        firsts = firsts.join(moved, "node", "left").select("node", F.coalesce("least", "first").alias("first"))
-    found = rows.select("id", "n", "node").join(firsts, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("first.id"))
+    firsts = nodes.select("node", "digest", F.struct(F.col("id").isNull().alias("last"), "id").alias("first"))
+    # The smallest key among the nodes of a component, for all of them.
+    least = roots.join(firsts, "node").groupBy("root").agg(F.min("first").alias("least"))
+    moved = roots.join(least, "root").select("node", "least")
+    firsts = firsts.join(moved, "node", "left").select("digest", F.coalesce("least", "first").alias("first"))
+    found = rows.join(firsts, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("first.id"))
     return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component"))
 
 

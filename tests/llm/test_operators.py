@@ -359,7 +359,7 @@ def test_blocked_products_equal_single_ones(spark):
 # --- Jaccard join -------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("join", [jaccard.Join(), jaccard.Join(words=5, percent=80), jaccard.Join(words=1, percent=60), jaccard.Join(rare=2, leaders=1)])
+@pytest.mark.parametrize("join", [jaccard.Join(), jaccard.Join(words=5, percent=80), jaccard.Join(words=1, percent=60), jaccard.Join(rare=2, small=1, block=3)])
 def test_jaccard_of_awkward_rows(spark, rows, docs, join):
     found = [tuple(r) for r in jaccard.linked(docs, join).collect()]
     assert order(found) == order(jaccard_components([r[:2] for r in rows], join.words, join.percent))
@@ -377,7 +377,7 @@ def test_jaccard_of_near_copies(spark, rare, words_, percent):
             rows.append((rng.randrange(10**6), near_copies(rng, base, rng.randint(0, max(1, n // 60)))))
             rows.append((rng.randrange(10**6), " ".join([*base[: n // 2], *rng.choices(vocabulary, k=n // 2)])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    join = jaccard.Join(words=words_, percent=percent, rare=rare)
+    join = jaccard.Join(words=words_, percent=percent, rare=rare, small=rare, block=7)
     found = [tuple(r) for r in jaccard.linked(df, join).collect()]
     expected = jaccard_components(rows, words_, percent)
     assert order(found) == order(expected)
@@ -386,6 +386,24 @@ def test_jaccard_of_near_copies(spark, rare, words_, percent):
     assert sorted(stays) == sorted({r[2] for r in expected})
 
 
+def test_block_links_hold_together_what_all_links_do():
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 10**9, 60)
+    sets = [np.unique(np.concatenate([rng.choice(base, 55, replace=False), rng.integers(0, 10**9, rng.integers(0, 6))])) for _ in range(40)]
+    alike = {(i, j) for i in range(40) for j in range(40) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+
+    def groups(edges, nodes):
+        root = {n: n for n in nodes}
+        for a, b in list(edges) * len(nodes):
+            root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert groups(jaccard.holding_links(sets, None, 85), range(40)) == groups(alike, range(40))
+    across = {(i, j) for i, j in alike if i < 25 <= j}
+    found = jaccard.holding_links(sets[:25], sets[25:], 85)
+    assert set(found) <= across and groups(found, range(40)) == groups(across, range(40)) and len(found) < 40
+
+
 def test_one_of_each_with_repeated_rows(docs, rows, none):
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
