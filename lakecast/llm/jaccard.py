@@ -7,8 +7,8 @@ sets must share two tokens of one class, and combinations of two are indexed. Do
 meet in the index are compared by their whole sets.
 
 Equal sets are one node from the start, and index buckets with the same members are one bucket. Small
-buckets give pairs of nodes. Members of large buckets are compared in blocks: each node belongs to the
-largest of its buckets, its hub, and blocks of hubs that share a bucket meet; a pair of
+buckets give pairs of nodes. Members of large buckets are compared in blocks: nodes are gathered
+in families around the largest buckets, and blocks of families that share a bucket meet; a pair of
 blocks returns only the links that hold its members together.
 """
 
@@ -281,24 +281,44 @@ def holding_links(left: list[np.ndarray], right: list[np.ndarray] | None, percen
     return out
 
 
+def _families(large: DataFrame) -> DataFrame:
+    """``node, family``: the largest bucket that a node, or a bucket of its hub's members, reaches.
+
+    A node's hub is its largest bucket. Hubs that meet in a bucket follow the largest of
+    them, so a group of near copies becomes one family, though edits scatter its members over
+    many buckets. Any such naming is right: families that share a bucket are compared.
+    """
+    hubs = kept(large.groupBy("node").agg(F.max(F.struct("m", "key")).alias("hub")))
+    seen = large.select("key", "node").join(hubs, "node").select("key", "hub").distinct()
+    best = seen.groupBy("key").agg(F.max("hub").alias("best"))
+    leads = seen.join(best, "key").groupBy("hub").agg(F.max("best").alias("best"))
+    return hubs.join(leads, "hub").select("node", F.col("best.key").alias("family"))
+
+
 def _block_links(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """Links ``a, b`` among the members of large buckets, enough to hold together all that are linked."""
     large = buckets.where(F.col("m") > join.small)
-    hubs = kept(large.groupBy("node").agg(F.max(F.struct("m", "key")).alias("hub")).select("node", "hub.key", "hub.m").withColumnRenamed("key", "hub"))
-    # Hubs that share a bucket: whoever shares a large bucket is in two of these.
-    seen = large.join(hubs.select("node", "hub"), "node").select("key", "hub").distinct()
+    families = kept(_families(large))
+    seen = large.join(families, "node").select("key", "family").distinct()
+    # Families that share a bucket: whoever shares a large bucket is in two of these.
     meet = (
-        seen.select("key", F.col("hub").alias("h1")).join(seen.select("key", F.col("hub").alias("h2")), "key").where("h1 <= h2").select("h1", "h2").distinct()
+        seen.select("key", F.col("family").alias("f1"))
+        .join(seen.select("key", F.col("family").alias("f2")), "key")
+        .where("f1 <= f2")
+        .select("f1", "f2")
+        .distinct()
     )
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / join.block)).cast("long")
-    placed = hubs.select("node", "hub", part.alias("part")).join(sets, "node").select("hub", "part", "node", "tokens")
+    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("rows"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("rows") / join.block)).cast("long")
+    placed = families.join(sizes, "family").select("node", "family", part.alias("part")).join(sets, "node")
+    placed = placed.select("family", "part", "node", "tokens")
 
     def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         first = dict(zip(group.column("node").to_pylist(), group.column("tokens"), strict=True))
         tokens = [t.values.to_numpy() for t in first.values()]
         return pa.table(
             {
-                "hub": pa.array([key[0].as_py()], pa.int64()),
+                "family": pa.array([key[0].as_py()], pa.int64()),
                 "part": pa.array([key[1].as_py()], pa.int64()),
                 "nodes": pa.array([list(first)], pa.list_(pa.int64())),
                 "lengths": pa.array([[len(t) for t in tokens]], pa.list_(pa.int64())),
@@ -306,12 +326,19 @@ def _block_links(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             }
         )
 
-    fields = ("hub", "part", "nodes", "lengths", "tokens")
-    blocks = stored(placed.groupBy("hub", "part").applyInArrow(pack, "hub long, part long, nodes array<long>, lengths array<long>, tokens binary"), "blocks")
+    fields = ("family", "part", "nodes", "lengths", "tokens")
+    blocks = placed.groupBy("family", "part").applyInArrow(pack, "family long, part long, nodes array<long>, lengths array<long>, tokens binary")
+    blocks = stored(blocks, "blocks")
     one, two = (blocks.select(*(F.col(c).alias(f"{c}{k}") for c in fields)) for k in (1, 2))
-    units = meet.join(one, F.col("h1") == F.col("hub1")).join(two, F.col("h2") == F.col("hub2")).where("h1 < h2 OR part1 <= part2")
-    # Pairs of blocks are work of their own, whatever task their blocks came from.
-    units = units.select(*(f"{c}{k}" for k in (1, 2) for c in fields)).repartition("hub1", "part1", "hub2", "part2")
+    # Pairs of blocks are found by their numbers, so each block travels only to the pairs it is in.
+    units = (
+        meet.join(one.select("family1", "part1"), F.col("f1") == F.col("family1"))
+        .join(two.select("family2", "part2"), F.col("f2") == F.col("family2"))
+        .where("f1 < f2 OR part1 <= part2")
+        .select("family1", "part1", "family2", "part2")
+    )
+    units = units.join(one, ["family1", "part1"]).join(two, ["family2", "part2"])
+    units = units.select(*(f"{c}{k}" for k in (1, 2) for c in fields))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,7 +348,7 @@ def _block_links(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
                     ends = np.cumsum(row[f"lengths{k}"])[:-1]
                     sides.append(np.split(np.frombuffer(row[f"tokens{k}"], "<i8"), ends))
                     nodes += row[f"nodes{k}"]
-                within = (row["hub1"], row["part1"]) == (row["hub2"], row["part2"])
+                within = (row["family1"], row["part1"]) == (row["family2"], row["part2"])
                 found = holding_links(sides[0], None if within else sides[1], join.percent)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())], names=["a", "b"]
