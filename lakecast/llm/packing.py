@@ -21,7 +21,7 @@ from lakecast.llm.common import byte_texts
 SEQUENCE = 4096
 END_ID = 2
 #: Words a worker remembers with their ids; bounds its memory.
-WORDS_KEPT = 700_000
+WORDS_KEPT = 250_000
 
 SCHEMA = "{key} {key_type}, start long, length long, doc_tokens long, ids binary"
 
@@ -51,17 +51,25 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._place: dict[bytes, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
-        self._start = np.zeros(1, np.int64)
+        self._starts = np.zeros(1 << 16, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
+        # In small parts, as the tokenizer's results are many times as large as their ids.
+        for first in range(0, len(words), 4096):
+            self._learn_part(words[first : first + 4096])
+
+    def _learn_part(self, words: list[bytes]) -> None:
         each = [e.ids for e in self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        ends = self._start[-1] + np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
-        used, total = int(self._start[-1]), int(ends[-1])
+        used = int(self._starts[len(self._place)])
+        ends = used + np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
+        total = int(ends[-1])
         if total > len(self._ids):
             self._ids = np.concatenate([self._ids[:used], np.empty(2 * total, np.uint32)])
         self._ids[used:total] = np.fromiter(chain.from_iterable(each), np.uint32, total - used)
-        self._start = np.concatenate([self._start, ends])
         first = len(self._place)
+        if first + len(words) >= len(self._starts):
+            self._starts = np.concatenate([self._starts, np.empty(len(self._starts) + len(words), np.int64)])
+        self._starts[first + 1 : first + 1 + len(words)] = ends
         self._place.update(zip(words, range(first, first + len(words)), strict=True))
 
     def _forget(self, words: list[bytes]) -> None:
@@ -69,7 +77,6 @@ class WordIds:
         kept = max(WORDS_KEPT, len(self._place) - len(words))
         for word in words[kept - len(self._place) + len(words) :]:
             del self._place[word]
-        self._start = self._start[: len(self._place) + 1]
 
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         split = [text.split() for text in texts]
@@ -78,8 +85,8 @@ class WordIds:
             self._learn(new)
         for words in split:
             at = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
-            first = self._start[at]
-            count = self._start[at + 1] - first
+            first = self._starts[at]
+            count = self._starts[at + 1] - first
             shift = np.repeat(first - (np.cumsum(count) - count), count)
             yield self._ids[np.arange(len(shift)) + shift]
         if len(self._place) > WORDS_KEPT:
