@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ WINDOW = 8
 UNIT = 256
 
 #: Statistics of a text as the transform's input, and the vector's components.
-VECTOR = ("word_length", "symbols", "dup_lines", "repeats", "capitals", "marks")
+VECTOR = ("word_length", "symbols", "dup_lines", "repeats", "capitals", "marks", "doubled")
 _P = len(VECTOR)
 _X = [f"x{i}" for i in range(_P)]
 
@@ -43,28 +44,30 @@ _CLASS[128:192] = 5
 @dataclass(frozen=True)
 class Rules:
     """``least_words`` and ``most_repeats`` (percent of the words) are the base rules. ``tail``: share of normal vectors
-    beyond the limit. ``floor``: standard deviation that every component has at least, in
-    units of the transform, so that a statistic that is 0 for most documents does not reject every other value.
+    beyond the limit. ``floors``: standard deviation that each component has at least, in
+    units of the transform, so that a statistic that is 0 for most documents does not reject every other
+    value; a line that stands twice is no fault, so repeats have wide ones.
     ``least_rows``: smaller groups are pooled. ``steps``: concentration steps."""
 
     least_words: int = 20
     most_repeats: int = 30
     tail: float = 1e-6
-    floor: float = 0.25
+    floors: tuple[float, ...] = (0.25, 0.25, 1.0, 1.0, 0.25, 0.25, 0.25)
     least_rows: int = 100
     steps: int = 6
 
 
 def statistics(text: bytes | None) -> tuple[int, ...]:
-    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_marks`` of a whole text."""
+    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_marks, n_doubled`` of a whole text."""
     if not text:
-        return (0,) * 8
+        return (0,) * 9
     classes = np.bincount(_CLASS[np.frombuffer(text, np.uint8)], minlength=6)
     words = text.split()
     lines = [line for line in text.split(b"\n") if line.strip()]
     chars = len(text) - int(classes[1]) - int(classes[5])
     return (
         len(words), chars, int(classes[2]), len(lines) - len(set(lines)), _repeated(words), len(lines), int(classes[3]), int(classes[4]),
+        sum(map(eq, words, words[1:])),
     )
 
 
@@ -98,8 +101,11 @@ def _repeated(words: list[bytes]) -> int:
 def vector(stats: tuple[int, ...]) -> list[int]:
     """Logarithms of the mean word length and of percentages. Each ratio has some more words or lines in
     its denominator, so that short texts do not stand out by chance."""
-    words, chars, symbols, dup_lines, repeats, lines, capitals, marks = stats
-    shares = (symbols / (chars + 100), dup_lines / (lines + 5), repeats / (words + 50), capitals / (chars + 100), marks / (chars + 100))
+    words, chars, symbols, dup_lines, repeats, lines, capitals, marks, doubled = stats
+    shares = (
+        symbols / (chars + 100), dup_lines / (lines + 5), repeats / (words + 50), capitals / (chars + 100), marks / (chars + 100),
+        doubled / (words + 50),
+    )
     whole = [4 * math.log((chars + 250) / (words + 50)), *(math.log1p(100 * s) for s in shares)]
     return [round(UNIT * v) for v in whole]
 
@@ -116,7 +122,7 @@ def measured(docs: DataFrame, rules: Rules, key: str, text: str, by: tuple[str,
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [statistics(t) for t in byte_texts(batch.column(len(by) + 1))]
-            stats = np.array(found, np.int64).reshape(-1, 8)
+            stats = np.array(found, np.int64).reshape(-1, 9)
             vectors = np.array([vector(s) for s in found], np.int64).reshape(-1, _P)
             failed = (stats[:, 0] < rules.least_words) | (100 * stats[:, 4] > rules.most_repeats * stats[:, 0])
             columns = [*batch.columns[: len(by) + 1], *(pa.array(c) for c in stats[:, :5].T), *(pa.array(c) for c in vectors.T), pa.array(failed)]
@@ -183,7 +189,7 @@ def _estimates(moments: DataFrame, rules: Rules, share: float) -> DataFrame:
                 second = np.zeros((_P, _P))
                 second[upper] = np.array([int(s) for s in row.products], float) / row.n / UNIT**2
                 second = second + np.triu(second, 1).T
-                scatter = factor * (second - np.outer(centre, centre)) + rules.floor**2 * np.eye(_P)
+                scatter = factor * (second - np.outer(centre, centre)) + np.diag(np.square(rules.floors))
                 out.append((row.cell, row.start, centre, np.linalg.inv(scatter).ravel(), np.linalg.slogdet(scatter)[1], row.n))
             yield pd.DataFrame(out, columns=["cell", "start", "centre", "inverse", "log_det", "n"])
 
@@ -248,7 +254,7 @@ def mcd(rows: DataFrame, rules: Rules) -> DataFrame:
     medians = kept(medians)
     off = [F.percentile(F.abs(F.col(x) - F.col(f"m_{x}")), F.lit(0.5)) for x in _X]
     spread = rows.join(broadcast_if_small(medians.drop("n")), "cell").groupBy("cell").agg(*(c.alias(f"d_{x}") for c, x in zip(off, _X, strict=True)))
-    deviations = [F.pow(F.col(f"d_{x}") * 1.4826 / UNIT, 2) + rules.floor**2 for x in _X]
+    deviations = [F.pow(F.col(f"d_{x}") * 1.4826 / UNIT, 2) + floor**2 for x, floor in zip(_X, rules.floors, strict=True)]
     diagonal = F.array(*(1 / deviations[i] if i == j else F.lit(0.0) for i in range(_P) for j in range(_P)))
     robust = medians.join(spread, "cell").select(
         "cell", F.lit("medians").alias("start"), F.array(*(F.col(f"m_{x}") / UNIT for x in _X)).alias("centre"),

@@ -47,15 +47,16 @@ def test_outliers_reject_what_lies_far_off(spark):
 
 def test_mcd_equals_the_estimate_in_numpy(spark):
     rng = np.random.default_rng(3)
-    x = np.rint(256 * rng.normal(size=(400, 6)) @ np.diag([1, 2, 1, 0.5, 1, 1])).astype(int)
+    p = len(outliers.VECTOR)
+    x = np.rint(256 * rng.normal(size=(400, p)) @ np.diag([1, 2, 1, 0.5, 1, 1, 3])).astype(int)
     x[:60] += 5000
     rules = outliers.Rules(steps=3)
-    frame = spark.createDataFrame([("c", *map(int, v)) for v in x], "cell string, " + ", ".join(f"x{i} long" for i in range(6)))
+    frame = spark.createDataFrame([("c", *map(int, v)) for v in x], "cell string, " + ", ".join(f"x{i} long" for i in range(p)))
     got = outliers.mcd(frame, rules).first()
     values = x / 256
 
     def estimate(part, share):
-        scatter = outliers._consistency(share) * np.cov(part.T, bias=True) + rules.floor**2 * np.eye(6)
+        scatter = outliers._consistency(share) * np.cov(part.T, bias=True) + np.diag(np.square(rules.floors))
         return part.mean(axis=0), scatter
 
     def far(centre, scatter):
@@ -65,16 +66,16 @@ def test_mcd_equals_the_estimate_in_numpy(spark):
     median = np.median(values, axis=0)
     mad = np.median(np.abs(values - median), axis=0) * 1.4826
     ends = []
-    for centre, scatter in ((median, np.diag(mad**2 + rules.floor**2)), estimate(values, 1.0)):
+    for centre, scatter in ((median, np.diag(mad**2 + np.square(rules.floors))), estimate(values, 1.0)):
         for _ in range(rules.steps):
             classes = np.floor(16 * np.log2(1 + 16 * far(centre, scatter)))
             counts = {c: int((classes < c).sum()) for c in set(classes)}
-            inside = [counts[c] < (len(values) + 7) / 2 for c in classes]
+            inside = [counts[c] < (len(values) + p + 1) / 2 for c in classes]
             centre, scatter = estimate(values[inside], 0.5)
         ends.append((np.linalg.slogdet(scatter)[1], centre, scatter))
     _, centre, scatter = min(ends, key=lambda e: e[0])
-    centre, scatter = estimate(values[far(centre, scatter) <= outliers.chi2_limit(0.975, 6)], 0.975)
-    assert np.allclose(got.centre, centre) and np.allclose(np.array(got.inverse).reshape(6, 6), np.linalg.inv(scatter))
+    centre, scatter = estimate(values[far(centre, scatter) <= outliers.chi2_limit(0.975, p)], 0.975)
+    assert np.allclose(got.centre, centre) and np.allclose(np.array(got.inverse).reshape(p, p), np.linalg.inv(scatter))
     assert np.abs(centre).max() < 0.5
 
 
