@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecast.llm.common import fresh, kept, stored
+from lakecast.llm.common import fresh, kept, stored, word_count
 from lakecast.session import broadcast_if_small
 
 FIELD = "<*>"
@@ -35,16 +35,17 @@ class Tree:
     share: float = 0.75
 
 
-def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda t: t != "")
+_BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
-def _masked(token: Column) -> Column:
-    return F.when(token.rlike("[0-9]"), FIELD).otherwise(token)
+def _masked(words: Column) -> Column:
+    """Tokens with single blanks between them, those with digits as fields."""
+    plain = F.trim(F.regexp_replace(words, f"{_BLANK}+", " "))
+    return F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)
 
 
 def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
-    """``id, hash, line_no, tokens, leaf`` of the lines with enough tokens.
+    """``id, hash, line_no, line, leaf`` of the lines with enough tokens.
 
     A document is its key and the hash of its text, so that rows without a key are documents of
     their own and repeated rows are one.
@@ -53,9 +54,11 @@ def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
     lines = docs.select(
         F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), F.posexplode(F.split(whole, "\n")).alias("line_no", "line")
     )
-    tokens = lines.select("id", "hash", "line_no", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= tree.fixed)
-    lead = F.transform(F.slice("tokens", 1, tree.depth), _masked)
-    return tokens.withColumn("leaf", F.xxhash64(F.size("tokens"), F.array_join(lead, " ")))
+    # Only a line's first tokens are looked at to see whether it has enough; all are counted once.
+    long_enough = F.col("line").rlike(f"^{_BLANK}*(?:{_SOLID}+{_BLANK}+){{{tree.fixed - 1}}}{_SOLID}")
+    lead = F.regexp_extract("line", f"^{_BLANK}*({_SOLID}+(?:{_BLANK}+{_SOLID}+){{0,{tree.depth - 1}}})", 1)
+    leaf = F.xxhash64(word_count(F.col("line")), _masked(lead))
+    return lines.where(long_enough).select("id", "hash", "line_no", "line", leaf.alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -68,31 +71,33 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", t
     leaves = kept(
         lines.select("leaf", *document).distinct().groupBy("leaf").count().where(F.col("count") >= tree.documents).select("leaf")
     )
-    shared = lines.join(broadcast_if_small(leaves), "leaf").select(
-        "leaf", *document, "line_no", F.array_join(F.transform("tokens", _masked), " ").alias("masked")
-    )
-    shared = stored(shared, "shared-lines")
+    shared = lines.join(broadcast_if_small(leaves), "leaf").select("leaf", *document, "line_no", _masked(F.col("line")).alias("masked"))
+    shared = stored(shared.withColumn("code", F.xxhash64("masked")), "shared-lines")
 
     # Every distinct line once, weighing as many as the documents that have it.
-    distinct = kept(shared.select("leaf", "masked", *document).distinct().groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("documents")))
-    tokens = distinct.select("leaf", "masked", "documents", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    weights = shared.select("leaf", "code", *document).distinct().groupBy("leaf", "code").agg(F.count(F.lit(1)).alias("documents"))
+    texts = shared.groupBy("leaf", "code").agg(F.first("masked").alias("masked"))
+    distinct = stored(weights.join(texts, ["leaf", "code"]), "distinct-lines")
+    tokens = distinct.select("leaf", "code", "documents", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     fixed = (
         tokens.where(F.col("token") != FIELD)
         .groupBy("leaf", "place", "token")
         .agg(F.sum("documents").alias("have"))
         .where(F.col("have") >= tree.documents)
-        .select("leaf", "place", "token", F.lit(True).alias("is_fixed"))
+        .select("leaf", "place", "token")
     )
-    part = F.struct("place", F.when(F.col("is_fixed"), F.col("token")).otherwise(FIELD).alias("token"))
-    parts = F.transform(F.array_sort(F.collect_list(part)), lambda p: p["token"])
-    # A group is the tokens of one line.
-    templates = tokens.join(fixed, ["leaf", "place", "token"], "left").groupBy("leaf", "masked").agg(parts.alias("parts"))
-    n_fixed = F.size(F.filter("parts", lambda t: t != FIELD))
-    enough = F.when(n_fixed == F.size("parts"), n_fixed >= tree.fixed).otherwise(
-        (n_fixed >= tree.fixed_of_fields) & (n_fixed >= tree.share * F.size("parts"))
+    # Only fixed tokens travel on; the places between them are fields.
+    parts = F.map_from_entries(F.collect_list(F.struct("place", "token")))
+    found = tokens.join(fixed, ["leaf", "place", "token"]).groupBy("leaf", "code").agg(parts.alias("parts"))
+    n_fixed = F.size("parts")
+    enough = F.when(n_fixed == F.col("n"), n_fixed >= tree.fixed).otherwise(
+        (n_fixed >= tree.fixed_of_fields) & (n_fixed >= tree.share * F.col("n"))
     )
-    templates = templates.where(enough).select("leaf", "masked", F.xxhash64("leaf", F.array_join("parts", " ")).alias("template_id"), F.array_join("parts", " ").alias("template"))
-    found = stored(shared.join(templates, ["leaf", "masked"]).drop("leaf", "masked"), "templates")
+    template = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda p: F.coalesce(F.col("parts")[p], F.lit(FIELD))), " ")
+    lengths = distinct.select("leaf", "code", F.size(F.split("masked", " ")).alias("n"))
+    templates = found.join(lengths, ["leaf", "code"]).where(enough).select("leaf", "code", template.alias("template"))
+    templates = templates.withColumn("template_id", F.xxhash64("leaf", "template"))
+    found = stored(shared.drop("masked").join(templates, ["leaf", "code"]).drop("leaf", "code"), "templates")
 
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "line_no")
     recurring = (
