@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecast import transit
-from lakecast.operators.encoding import build_code_table
+from lakecast.operators.encoding import build_code_table, extend_code_table
 from lakecast.operators.projections import clean_relevant, select_required, temporal_split
 from lakecast.plans.features import encode_keys, group_daily, group_hourly, model_table
 from lakecast.plans.forecasting import backtest, predict_next, recursive_forecast
@@ -32,14 +32,15 @@ from lakecast.plans.modeling import (
 from lakecast.series import DAILY, HOURLY, SeriesSpec
 from lakecast.session import build_session
 from lakecast.sources.files import (
-    file_columns,
+    common_columns,
     nanos_as_long,
     parse_time_column,
     reference_values,
     scan_json,
     scan_parquet,
 )
-from lakecast.sources.tables import create_or_replace_as, scan_table
+from lakecast.sources.tables import create_or_replace_as, read_current, replace_self, scan_table, table_exists
+from lakecast.streaming.incremental import run_incremental_stream
 
 log = logging.getLogger(__name__)
 
@@ -63,18 +64,24 @@ def resume(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> None:
     stations = reference_values(spark, args.stations, ["station_complex_id", "station_complex"])
-    columns = file_columns(spark, args.lake)
-    with nanos_as_long(spark):
-        kind = scan_parquet(spark, args.lake).schema[TIME].dataType.simpleString()
-        schema = transit.RAW_SCHEMA if kind == "bigint" else transit.LAKE_SCHEMA
-        rows = normalise(scan_parquet(spark, args.lake, schema), TIME, MEASURES)
+    columns = common_columns(spark, args.lake)
+
+    def load(raw: DataFrame) -> None:
         report = load_validated(
-            rows, args.table, transit.rules(stations), TIME, args.good, args.bad,
+            normalise(raw, TIME, MEASURES), args.table, transit.rules(stations), TIME, args.good, args.bad,
             columns=columns, on_fail=args.on_fail,
         )
-    log.info("batch %s", report.status)
-    if report.summary is not None:
-        report.summary.where(~F.col("success")).show(100, truncate=False)
+        log.info("batch %s", report.status)
+        if report.summary is not None and args.summary:
+            report.summary.write.mode("overwrite").parquet(args.summary)
+
+    with nanos_as_long(spark):
+        kind = scan_parquet(spark, args.lake).schema[TIME].dataType.simpleString()
+        schema = transit.RAW_SCHEMA if kind == "bigint" else transit.LAKE_SCHEMA
+        if args.state:
+            run_incremental_stream(spark, f"{args.lake}/year=*/month=*", schema, load, args.state)
+        else:
+            load(scan_parquet(spark, args.lake, schema))
 
 
 def curate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -95,7 +102,7 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
         facts, TIME, transit.LABEL_COLUMNS, {"ridership": "ridership", "transfer": "transfers"}
     )
     grouped = create_or_replace_as(grouped, f"{args.out}/grouped")
-    codes = create_or_replace_as(build_code_table(grouped, transit.LABEL_COLUMNS), f"{args.out}/codes")
+    codes = _codes(spark, grouped, f"{args.out}/codes")
     hourly = create_or_replace_as(
         encode_keys(grouped, codes, transit.LABEL_COLUMNS), f"{args.out}/encoded_hour"
     )
@@ -103,8 +110,15 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
         group_daily(hourly, TIME, DAILY.keys, {"ridership": "ridership", "transfer": "transfer"}),
         f"{args.out}/encoded_date",
     )
-    create_or_replace_as(model_table(hourly, HOURLY, split_rows="auto"), f"{args.out}/hour_model")
-    create_or_replace_as(model_table(daily, DAILY, split_rows="auto"), f"{args.out}/date_model")
+    create_or_replace_as(model_table(hourly, HOURLY, split_rows=args.split_rows), f"{args.out}/hour_model")
+    create_or_replace_as(model_table(daily, DAILY, split_rows=args.split_rows), f"{args.out}/date_model")
+
+
+def _codes(spark: SparkSession, grouped: DataFrame, root: str) -> DataFrame:
+    """The code table next to the models: built once, then only extended."""
+    if table_exists(spark, root):
+        return replace_self(extend_code_table(read_current(spark, root), grouped, transit.LABEL_COLUMNS), root)
+    return replace_self(build_code_table(grouped, transit.LABEL_COLUMNS), root)
 
 
 def _model_rows(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, SeriesSpec]:
@@ -113,7 +127,7 @@ def _model_rows(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFram
 
 
 def _publish(df: DataFrame, spec: SeriesSpec, args: argparse.Namespace, extra=()) -> None:
-    codes = scan_table(df.sparkSession, f"{args.features}/codes")
+    codes = read_current(df.sparkSession, f"{args.features}/codes")
     rows = publish(cast_time(df, spec), spec, codes, transit.LABEL_COLUMNS, extra)
     rows.write.mode("overwrite").parquet(args.out)
 
@@ -167,8 +181,11 @@ def parser() -> argparse.ArgumentParser:
     job("resume", resume, "source", "lake")
     sub = job("validate", validate, "lake", "stations", "table", "good", "bad")
     sub.add_argument("--on-fail", choices=("quarantine_batch", "split"), default="quarantine_batch")
+    sub.add_argument("--state", help="remembers the files loaded, so that a run takes only new ones")
+    sub.add_argument("--summary", help="where the suite's full result is written")
     job("curate", curate, "table", "curated", "increment")
-    job("features", features, "curated", "out")
+    sub = job("features", features, "curated", "out")
+    sub.add_argument("--split-rows", type=int, help="cut series into segments of that many rows")
     for name, run in (("train", train), ("predict", predict), ("forecast", forecast), ("backtest", backtest_job)):
         sub = job(name, run, "features", "model", "out")
         sub.add_argument("--unit", choices=("day", "hour"), default="day")

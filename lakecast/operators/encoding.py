@@ -1,8 +1,8 @@
 """Code tables: labels to ordinal codes and back.
 
 One long table ``(column, label, code)`` holds the codes of every label column. Codes
-are dense ranks of the distinct labels, null first. Keep the table with the model: codes
-rebuilt from other data differ.
+are dense ranks of the distinct labels, null first. Keep the table with the model and extend
+it: codes rebuilt from other data differ.
 """
 
 from __future__ import annotations
@@ -17,10 +17,6 @@ from lakecast.session import cut_lineage, is_small
 
 CODE_SCHEMA = "column string, label string, code bigint"
 
-# Up to this many distinct labels, one task per column ranks them.
-RANK_IN_ONE_TASK = 1_000_000
-
-
 def distinct_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct ``(column, label)`` of all label columns from one scan.
 
@@ -33,14 +29,8 @@ def distinct_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).distinct()
 
 
-def rank_labels(labels: DataFrame) -> DataFrame:
-    """Dense rank per column; each column's distinct labels meet in one task."""
-    order = Window.partitionBy("column").orderBy(F.col("label").asc_nulls_first())
-    return labels.select("column", "label", F.dense_rank().over(order).cast("bigint").alias("code"))
-
-
 def rank_labels_by_range(labels: DataFrame, partitions: int) -> DataFrame:
-    """The same ranks for label sets too big for one task.
+    """Dense rank per column, null first, however many labels there are.
 
     Distinct labels are range-partitioned, ranked inside each range, and shifted by the
     number of labels in the ranges before. The partitioned rows are checkpointed, so both
@@ -64,14 +54,23 @@ def rank_labels_by_range(labels: DataFrame, partitions: int) -> DataFrame:
 
 
 def build_code_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Codes of all ``columns``, computed once and checkpointed.
+    """Codes of all ``columns``, computed once and checkpointed."""
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(rank_labels_by_range(distinct_labels(df, columns), ranges))
+
+
+def extend_code_table(code_table: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``code_table`` with the labels of ``df`` that it lacks, numbered after each column's largest code.
 
-    The distinct labels are counted before the ranking is chosen.
+    Codes that are there never change, so a saved model still reads the same series under them.
     """
-    labels = cut_lineage(distinct_labels(df, columns))
-    tasks = labels.count() // RANK_IN_ONE_TASK + 1
-    ranked = rank_labels(labels) if tasks == 1 else rank_labels_by_range(labels, tasks)
-    return cut_lineage(ranked)
+    same = F.col("n.column").eqNullSafe(F.col("o.column")) & F.col("n.label").eqNullSafe(F.col("o.label"))
+    new = distinct_labels(df, columns).alias("n").join(code_table.alias("o"), same, "left_anti")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    largest = code_table.groupBy("column").agg(F.max("code").alias("largest"))
+    numbered = rank_labels_by_range(new, ranges).join(largest, "column", "left")
+    code = (F.col("code") + F.coalesce("largest", F.lit(0))).alias("code")
+    return cut_lineage(code_table.select("column", "label", "code").unionByName(numbered.select("column", "label", code)))
 
 
 def codes_of(code_table: DataFrame, column: str) -> DataFrame:

@@ -18,11 +18,11 @@ def anti_new_rows(
     """Source rows whose key is not in the target.
 
     ``null_safe`` lets a null key match a null key, so that a second run adds nothing;
-    without it such rows count as new each time. Target keys are reduced map-side before
-    they are shuffled; a hot key on the source side is left to the adaptive skew join,
+    without it such rows count as new each time. Each side is shuffled once, the target
+    by its keys alone; a hot key on the source side is left to the adaptive skew join,
     which may split the left side of an anti join.
     """
-    known = target.select(*(F.col(k).alias(f"_known_{k}") for k in keys)).distinct()
+    known = target.select(*(F.col(k).alias(f"_known_{k}") for k in keys))
     pairs = [
         F.col(k).eqNullSafe(F.col(f"_known_{k}")) if null_safe else F.col(k) == F.col(f"_known_{k}")
         for k in keys

@@ -21,7 +21,7 @@ class Rule:
     kind: str
     column: str
     pattern: str | None = None
-    values: tuple = ()
+    values: tuple | None = None
     low: float | None = None
     high: float | None = None
     table: DataFrame | None = None
@@ -61,8 +61,9 @@ class Rule:
             return c.cast("string").rlike(self.pattern)
         if self.table is not None:
             return F.col(flag)
-        if self.values:
-            return c.isin(*self.values)
+        if self.values is not None:
+            # No value is in an empty set.
+            return c.isin(*self.values) if self.values else F.when(c.isNotNull(), F.lit(False))
         return c.between(self.low, self.high)
 
 
@@ -249,7 +250,9 @@ def all_success(summary: DataFrame, kind: str | None = None) -> bool:
 
 
 def verdict(df: DataFrame, rules: Sequence[Rule]) -> Column:
-    """All value rules at once: true, false, or null if a null decides."""
+    """All value rules at once: true, false, or null if a null decides. One on an absent column is false."""
+    if any(rule.on_values and rule.column not in df.columns for rule in rules):
+        return F.lit(False)
     checks = [rule.predicate(_flag(i)) for i, rule in _value_rules(df, rules)]
     return reduce(lambda a, b: a & b, checks, F.lit(True))
 

@@ -20,9 +20,6 @@ from lakecast.series import SeriesSpec
 # Resolution of summed sines and cosines: fine to 1e-13, and 2 million rows fit a bigint.
 WAVE_SCALE = 2**42
 
-# A window over this many rows of all features stays well below a task's memory.
-SPLIT_ABOVE = 250_000
-
 _SEGMENT, _RANK, _HOME = "_segment", "_rank", "_home"
 
 
@@ -57,13 +54,6 @@ def number_rows(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     )
 
 
-def split_if_long(df: DataFrame, spec: SeriesSpec, limit: int = SPLIT_ABOVE) -> int | None:
-    """Segment length if some series has more than ``limit`` rows, else None."""
-    sizes = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
-    longest = sizes.agg(F.max("n")).first()[0]
-    return limit if longest is not None and longest > limit else None
-
-
 def over_series(
     df: DataFrame,
     spec: SeriesSpec,

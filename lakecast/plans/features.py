@@ -1,4 +1,4 @@
-"""Feature tables as one lazy plan from raw rows to model rows."""
+"""Feature tables from raw rows to model rows; only a code table is computed on the way."""
 
 from __future__ import annotations
 
@@ -15,7 +15,6 @@ from lakecast.operators.windows import (
     add_trailing_means,
     drop_null_lags,
     drop_null_means,
-    split_if_long,
 )
 from lakecast.series import SeriesSpec
 from lakecast.session import cut_lineage
@@ -87,7 +86,7 @@ def model_table(
     series: DataFrame,
     spec: SeriesSpec,
     gap_fill: str | None = None,
-    split_rows: int | str | None = None,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Calendar, lags and averages; rows without full lags or without averages are dropped.
 
@@ -95,14 +94,11 @@ def model_table(
     ``n_lags`` rows and one more. The calendar is added after the lags: only the bare
     series is shuffled, and the averages reuse its partitioning and order.
 
-    ``split_rows`` cuts long series into segments of that many rows; ``"auto"`` counts the
-    series first and cuts only if one is too long for a task (for materialised input).
+    ``split_rows`` cuts long series into segments of that many rows, which run in parallel.
     """
     if gap_fill not in (None, "zero"):
         raise ValueError("gap_fill is None or 'zero'")
     rows = fill_gaps(series, spec) if gap_fill else series
-    if split_rows == "auto":
-        split_rows = split_if_long(rows, spec)
     lagged = drop_null_lags(add_lags(rows, spec, split_rows), spec)
     averaged = add_trailing_means(add_calendar(lagged, spec), spec, split_rows)
     fixed = [c for c in rows.columns if c not in spec.calendar]

@@ -8,7 +8,6 @@ neither joins nor shuffles, however many series there are.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
@@ -26,10 +25,6 @@ Predictor = PipelineModel | Callable[[DataFrame], DataFrame]
 _HIST, _LAGS, _OUT, _LAST, _NEXT = "_hist", "_lags", "_out", "_last", "_next"
 
 
-def _reading(t: Column, spec: SeriesSpec) -> Column:
-    return F.unix_date(t) if spec.unit == "day" else F.unix_micros(t)
-
-
 def _entry(t: Column, y: Column, spec: SeriesSpec) -> Column:
     """One history element: time, value, and the calendar features that get averaged."""
     calendar = calendar_columns(t, spec.cycles)
@@ -44,50 +39,44 @@ def _since(oldest: Column) -> Column:
     return F.filter(_HIST, lambda e: e["t"] >= oldest)
 
 
-def series_state(table: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Per series: last time, the rows of the last ``history`` units, and the next step's lags.
+def latest_time(table: DataFrame, spec: SeriesSpec) -> str | None:
+    """The table's largest time as text, read from its time column alone; None for an empty table."""
+    return table.agg(F.max(spec.time).cast("string")).first()[0]
+
 
-    A series has one row per unit, so at most ``history`` rows lie in that many units, and
-    a rank limit applied before any shuffle bounds what is collected per series.
+def series_state(table: DataFrame, spec: SeriesSpec, latest: str) -> DataFrame:
+    """Per series: last time, the rows of the last ``history`` units up to ``latest``, and the next step's lags.
+
+    A series has one row per unit, so at most ``history`` rows are collected per series. The
+    bound is a value in the column's own type: files before it are skipped.
     """
-    newest_first = Window.partitionBy(*spec.keys).orderBy(F.col(spec.time).desc())
-    recent = (
-        table.select(spec.time, *spec.keys, spec.value, *spec.lags)
-        .withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") <= spec.history)
-    )
+    oldest = shift(F.lit(latest).cast(table.schema[spec.time].dataType), 1 - spec.history, spec.unit)
+    recent = table.select(spec.time, *spec.keys, spec.value, *spec.lags).where(F.col(spec.time) >= oldest)
     t, y = F.col(spec.time), F.col(spec.value)
-    state = recent.groupBy(*spec.keys).agg(
+    return recent.groupBy(*spec.keys).agg(
         F.max(t).alias(_LAST),
         F.sort_array(F.collect_list(_entry(t, y, spec))).alias(_HIST),
         F.max_by(F.array(spec.value, *spec.lags[:-1]), t).alias(_LAGS),
     )
-    return state.withColumn(_HIST, _since(shift(F.col(_LAST), 1 - spec.history, spec.unit)))
-
 
-@dataclass(frozen=True)
-class LiveState:
-    """State of the series that reach the latest time, and of those that ended before."""
 
-    rows: DataFrame
-    ended: DataFrame
+def live_state(table: DataFrame, spec: SeriesSpec) -> DataFrame | None:
+    """Checkpointed state of the series that reach the latest time; None for an empty table.
 
-
-def live_state(table: DataFrame, spec: SeriesSpec) -> LiveState | None:
-    """Checkpointed state at the latest time; None for an empty table.
-
-    A series without a row at the latest time is not continued.
+    A series without a row at the latest time is not continued; ``ended_series`` lists those.
     """
-    state = cut_lineage(series_state(table, spec))
-    reading = _reading(F.col(_LAST), spec)
-    clock = state.agg(F.max(reading)).first()[0]
-    if clock is None:
+    latest = latest_time(table, spec)
+    if latest is None:
         return None
-    live, ended = state.where(reading == clock), state.where(reading < clock)
-    return LiveState(
-        live.withColumn(_NEXT, shift(F.col(_LAST), 1, spec.unit)).drop(_LAST),
-        ended.select(*spec.keys, F.col(_LAST).alias(spec.time)),
-    )
+    at = F.lit(latest).cast(table.schema[spec.time].dataType)
+    live = series_state(table, spec, latest).where(F.col(_LAST) == at)
+    return cut_lineage(live.withColumn(_NEXT, shift(F.col(_LAST), 1, spec.unit)).drop(_LAST))
+
+
+def ended_series(table: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Keys and last time of the series without a row at the table's latest time."""
+    last = table.groupBy(*spec.keys).agg(F.max(spec.time).alias(spec.time))
+    return last.where(F.col(spec.time) < last.agg(F.max(spec.time)).scalar())
 
 
 def _mean(entries: str, name: str) -> Column:
@@ -150,7 +139,7 @@ def next_step_input(table: DataFrame, spec: SeriesSpec, keep_time: bool = False)
     if live is None:
         return table.select(*columns).limit(0)
     step = Step(spec, table.schema[spec.value].dataType, "truncate")
-    return step.features(live.rows).select(*columns)
+    return step.features(live).select(*columns)
 
 
 def _score(predictor: Predictor, features: DataFrame) -> DataFrame:
@@ -190,7 +179,7 @@ def recursive_forecast(
         ).limit(0)
     time_type = "date" if spec.unit == "day" else "timestamp"
     none_yet = F.array().cast(f"array<struct<t:{time_type},prediction:bigint>>")
-    state = live.rows.withColumn(_OUT, none_yet)
+    state = live.withColumn(_OUT, none_yet)
     step = Step(spec, table.schema[spec.value].dataType, cast)
     for n in range(1, steps + 1):
         state = step.advance(_score(predictor, step.features(state)))

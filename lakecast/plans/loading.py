@@ -19,7 +19,7 @@ from lakecast.operators.projections import (
 )
 from lakecast.operators.quality import Rule, isolate, judge, schema_gate
 from lakecast.session import cut_lineage
-from lakecast.sources.files import file_columns, nanos_as_long, scan_parquet
+from lakecast.sources.files import common_columns, nanos_as_long, scan_parquet
 from lakecast.sources.tables import (
     latest_in_partitions,
     scan_table,
@@ -46,6 +46,8 @@ def merge_insert_only(
     partition: str = "year",
     columns: Sequence[str] | None = None,
     dedupe: bool = False,
+    fmt: str = "parquet",
+    **options: str,
 ) -> None:
     """Append the batch rows that equal no stored row on all columns; a re-run adds nothing.
 
@@ -57,13 +59,13 @@ def merge_insert_only(
     first, parts = batch.agg(
         F.min(time).cast("string"), F.collect_set(partition)
     ).first()
-    target = scan_table(spark, path)
+    target = scan_table(spark, path, fmt, **options)
     stored = target.where(F.col(partition).isin(parts) | F.col(partition).isNull())
     if first is not None:
         kind = target.schema[time].dataType
         stored = stored.where((F.col(time) >= F.lit(first).cast(kind)) | F.col(time).isNull())
     new = missing_rows(batch, stored, [*wanted, partition], dedupe)
-    new.write.mode("append").partitionBy(partition).parquet(path)
+    write_partitioned(new, path, partition, mode="append", fmt=fmt)
 
 
 @dataclass(frozen=True)
@@ -81,14 +83,25 @@ def quarantine(
     good_path: str,
     bad_path: str,
     null_policy: str = "bad",
+    batch: str | None = None,
 ) -> DataFrame:
-    """Append good rows (cast to ``schema``) and bad rows to their paths; returns the good ones."""
+    """Write good rows (cast to ``schema``) and bad rows to their paths; returns the good ones.
+
+    A named ``batch`` replaces what an earlier run of it left there.
+    """
     good, bad = isolate(df, rules, null_policy)
     good = cast_to_schema(good, schema)
-    write_quarantine(good, bad, good_path, bad_path)
+    write_quarantine(good, bad, good_path, bad_path, batch)
     return good
 
 
+def batch_name(df: DataFrame) -> str:
+    """A name that the same rows always get, in whatever order they come."""
+    row = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    total, rows = df.agg(F.sum(row.cast("decimal(38,0)")), F.count(F.lit(1))).first()
+    return f"{int(total or 0) % (1 << 64):016x}-{rows}"
+
+
 def load_validated(
     batch: DataFrame,
     path: str,
@@ -101,33 +114,39 @@ def load_validated(
     null_policy: str = "bad",
     partition: str = "year",
     dedupe: bool = False,
+    since_latest: bool = False,
+    fmt: str = "parquet",
 ) -> LoadReport:
     """Validate a batch and bring it into the table at ``path``.
 
-    No table yet: full load. Otherwise only rows from the table's latest time on are
-    taken and merged insert-only. If a rule fails, the whole batch goes to quarantine and
-    the table stays as it is; with ``on_fail="split"`` the good rows are still loaded.
+    No table yet: full load. Otherwise all rows of the batch are merged insert-only, late
+    ones and those without a time like any others; choose the batch by files. If a rule fails, the
+    whole batch goes to quarantine and the table stays as it is; with ``on_fail="split"``
+    the good rows are still loaded. ``since_latest`` looks only at rows from the table's latest
+    time on, for input that is known to come in order.
     """
     if on_fail not in ON_FAIL:
         raise ValueError(f"on_fail must be one of {ON_FAIL}")
     spark = batch.sparkSession
     schema_gate(columns if columns is not None else batch.columns, rules)
-    exists = table_exists(spark, path)
+    exists = table_exists(spark, path, fmt)
     rows = batch
-    if exists:
-        high_water = latest_in_partitions(spark, path, time, partition)
+    if exists and since_latest:
+        high_water = latest_in_partitions(spark, path, time, partition, fmt)
         rows = since_high_water(batch, time, high_water)
-        if rows.isEmpty():
-            return LoadReport("up_to_date")
+    if exists and rows.isEmpty():
+        return LoadReport("up_to_date")
     summary, passed = judge(rows, rules, columns)
-    accepted = rows if passed else quarantine(rows, rules, rows.schema, good_path, bad_path, null_policy)
+    accepted = rows if passed else quarantine(
+        rows, rules, rows.schema, good_path, bad_path, null_policy, batch_name(rows)
+    )
     if not passed and on_fail == "quarantine_batch":
         return LoadReport("quarantined", summary)
     ready = derive_year(cast_to_schema(accepted, rows.schema), time, partition)
     if exists:
-        merge_insert_only(ready, path, time, partition, dedupe=dedupe)
+        merge_insert_only(ready, path, time, partition, dedupe=dedupe, fmt=fmt)
     else:
-        write_partitioned(ready.dropDuplicates() if dedupe else ready, path, partition)
+        write_partitioned(ready.dropDuplicates() if dedupe else ready, path, partition, fmt=fmt)
     if not passed:
         return LoadReport("split", summary)
     return LoadReport("merged" if exists else "loaded", summary)
@@ -147,10 +166,10 @@ def load_silver(
 ) -> LoadReport:
     """Scan landed Parquet under ``schema``, normalise, validate, load.
 
-    The columns for the existence rules are read from the files, before the schema fills
-    absent ones with nulls.
+    The columns for the existence rules are those that every file has, before the schema
+    fills absent ones with nulls.
     """
-    columns = file_columns(spark, source)
+    columns = common_columns(spark, source)
     with nanos_as_long(spark):
         raw = scan_parquet(spark, source, schema)
         return load_validated(
@@ -166,6 +185,8 @@ def append_curated(
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     null_safe: bool = True,
+    fmt: str = "parquet",
+    **options: str,
 ) -> int:
     """Bring new rows into the curated table and leave them as the increment snapshot.
 
@@ -175,12 +196,13 @@ def append_curated(
     """
     spark = source.sparkSession
     wanted = source.select(*columns) if columns else source
-    if not table_exists(spark, path) or scan_table(spark, path).isEmpty():
-        wanted.write.mode("overwrite").parquet(path)
-        return scan_table(spark, path).count()
-    new = cut_lineage(anti_new_rows(wanted, scan_table(spark, path), keys, null_safe))
+    target = scan_table(spark, path, fmt, **options) if table_exists(spark, path, fmt) else None
+    if target is None or target.isEmpty():
+        wanted.write.format(fmt).options(**options).mode("overwrite").save(path)
+        return scan_table(spark, path, fmt, **options).count()
+    new = cut_lineage(anti_new_rows(wanted, target, keys, null_safe))
     written = new.count()
     if written:
-        new.write.mode("overwrite").parquet(increment_path)
-        new.write.mode("append").parquet(path)
+        new.write.format(fmt).options(**options).mode("overwrite").save(increment_path)
+        new.write.format(fmt).options(**options).mode("append").save(path)
     return written

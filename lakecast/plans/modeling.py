@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,27 +27,24 @@ def boosted_trees(
     learning_rate: float = 0.1,
     rounds: int = 100,
     workers: int = 8,
-    engine: str = "auto",
+    engine: str = "spark",
     seed: int = 42,
 ) -> Estimator:
-    """Gradient-boosted trees: Spark ML's, or XGBoost's Spark estimator where it is installed."""
-    if engine not in ("auto", "spark", "xgboost"):
-        raise ValueError("engine is 'auto', 'spark' or 'xgboost'")
-    if engine != "spark":
-        try:
-            from xgboost.spark import SparkXGBRegressor
-        except ImportError:
-            if engine == "xgboost":
-                raise
-        else:
-            return SparkXGBRegressor(
-                features_col="features",
-                label_col=label,
-                num_workers=workers,
-                max_depth=max_depth,
-                learning_rate=learning_rate,
-                n_estimators=rounds,
-            )
+    """Gradient-boosted trees: Spark ML's, or by name XGBoost's Spark estimator, which has to be installed."""
+    if engine not in ("spark", "xgboost"):
+        raise ValueError("engine is 'spark' or 'xgboost'")
+    if engine == "xgboost":
+        from xgboost.spark import SparkXGBRegressor
+
+        return SparkXGBRegressor(
+            features_col="features",
+            label_col=label,
+            num_workers=workers,
+            max_depth=max_depth,
+            learning_rate=learning_rate,
+            n_estimators=rounds,
+            random_state=seed,
+        )
     return GBTRegressor(
         featuresCol="features",
         labelCol=label,
@@ -72,6 +69,11 @@ def random_forest(
     )
 
 
+def linear_model(label: str) -> Estimator:
+    """Least squares by the normal equations."""
+    return LinearRegression(featuresCol="features", labelCol=label, solver="normal")
+
+
 def fit(train: DataFrame, features: Sequence[str], regressor: Estimator) -> PipelineModel:
     return Pipeline(stages=[assembler(features), regressor]).fit(train)
 

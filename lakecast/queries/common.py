@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from lakecast.functions.temporal import TEXT_FORMAT
 from lakecast.plans.features import encode_series, group_daily, group_hourly, model_table
 from lakecast.series import SeriesSpec
+from lakecast.session import scratch_path
+from lakecast.sources.tables import create_or_replace_as
 
 
 @dataclass(frozen=True)
@@ -112,11 +114,20 @@ def encoded_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_table(encoded_daily(spark, sf_dir), DAILY, split_rows="auto")
+    return model_table(encoded_daily(spark, sf_dir), DAILY)
 
 
 def hourly_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_table(encoded_hourly(spark, sf_dir), HOURLY, split_rows="auto")
+    return model_table(encoded_hourly(spark, sf_dir), HOURLY)
+
+
+def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model table as files, as the jobs keep it: computed once, pruned by what is read."""
+    return create_or_replace_as(daily_model(spark, sf_dir), scratch_path(spark, "date-model"))
+
+
+def hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return create_or_replace_as(hourly_model(spark, sf_dir), scratch_path(spark, "hour-model"))
 
 
 # --- the same in SQL --------------------------------------------------------------------

@@ -25,8 +25,8 @@ from lakecast.queries.common import (
     SQL_HOURLY,
     Query,
     comparable,
-    daily_model,
-    hourly_model,
+    daily_table,
+    hourly_table,
     sql_calendar,
     sql_edge,
     sql_means,
@@ -67,7 +67,7 @@ def _next_input(model, spec):
 
 def _shifted(spark, sf_dir):
     """Lags as the next day sees them, under the next day's date."""
-    model = daily_model(spark, sf_dir)
+    model = daily_table(spark, sf_dir)
     rows = filter_at_max(model, DAILY.time)
     return comparable(
         rows.select(next_time(model, DAILY).alias(DAILY.time), *DAILY.keys, *shifted_lags(DAILY))
@@ -90,7 +90,7 @@ def _recursive(model, spec, steps):
 
 def _forecast_only(spark, sf_dir):
     """Seed rows and forecast in one history; what lies beyond the model table is kept."""
-    model = daily_model(spark, sf_dir)
+    model = daily_table(spark, sf_dir)
     forecast = recursive_forecast(model, DAILY, linear, 2)
     seed = seed_history(model, DAILY, *DAILY_SEED).select(
         DAILY.time, *DAILY.keys, F.col("ridership").alias("prediction")
@@ -109,7 +109,7 @@ def _backtest(model, spec, seed, actual, steps, include_seed=False):
 
 def _joined_actuals(spark, sf_dir):
     """Lag-1 forecasts of every row joined with the actual value."""
-    model = daily_model(spark, sf_dir)
+    model = daily_table(spark, sf_dir)
     forecast = model.select(DAILY.time, *DAILY.keys, F.col("ridership_lag_1").alias("prediction"))
     return comparable(with_actuals(forecast, model, DAILY.time, DAILY.keys, "ridership"))
 
@@ -147,7 +147,7 @@ def _sql_history(spec, source: str) -> str:
     )
 
 
-def _sql_loop(spec, steps: int, start: str, actual: str | None = None) -> str:
+def _sql_loop(spec, steps: int, start: str, actual: str | None = None, predictor: str = SQL_LINEAR) -> str:
     """CTEs ``history_0`` to ``history_<steps>``; with ``actual`` only observed rows are appended."""
     ctes = [f"history_0 AS MATERIALIZED ({_sql_history(spec, start)})"]
     for i in range(steps):
@@ -157,7 +157,7 @@ def _sql_loop(spec, steps: int, start: str, actual: str | None = None) -> str:
             known = f"SEMI JOIN {actual} USING ({spec.time}, {', '.join(spec.keys)})"
         ctes.append(
             f"""history_{i + 1} AS MATERIALIZED (SELECT * FROM history_{i} UNION ALL
-            SELECT {spec.time}, {', '.join(spec.keys)}, CAST(trunc({SQL_LINEAR}) AS BIGINT) AS prediction,
+            SELECT {spec.time}, {', '.join(spec.keys)}, CAST(trunc({predictor}) AS BIGINT) AS prediction,
             {', '.join(spec.calendar)}, {', '.join(spec.lags)} FROM input_{i} {known})"""
         )
     return ",".join(ctes)
@@ -179,24 +179,24 @@ def _sql_shifted() -> str:
     )
 
 
-def _sql_next(series, spec) -> str:
+def sql_next(series, spec, predictor: str = SQL_LINEAR, ctes: str = "") -> str:
     columns = (spec.time, *spec.keys)
     return (
-        f"WITH {sql_model_ctes(series, spec)}, history AS MATERIALIZED ({_sql_history(spec, 'model')}), "
+        f"WITH {sql_model_ctes(series, spec)}, {ctes} history AS MATERIALIZED ({_sql_history(spec, 'model')}), "
         f"{_sql_features(spec, 'history', 'n')} SELECT {sql_edge(spec, columns)}, "
-        f"CAST(round({SQL_LINEAR}) AS BIGINT) AS prediction FROM input_n"
+        f"CAST(round({predictor}) AS BIGINT) AS prediction FROM input_n"
     )
 
 
-def _sql_recursive(series, spec, steps) -> str:
+def sql_recursive(series, spec, steps, predictor: str = SQL_LINEAR, ctes: str = "") -> str:
     columns = (spec.time, *spec.keys, "prediction")
     return (
-        f"WITH {sql_model_ctes(series, spec)}, {_sql_loop(spec, steps, 'model')} "
+        f"WITH {sql_model_ctes(series, spec)}, {ctes} {_sql_loop(spec, steps, 'model', None, predictor)} "
         f"SELECT {sql_edge(spec, columns)} FROM history_{steps} WHERE {spec.time} > (SELECT MAX({spec.time}) FROM model)"
     )
 
 
-def _sql_backtest(series, spec, seed, actual, steps, include_seed=False) -> str:
+def sql_backtest(series, spec, seed, actual, steps, include_seed=False, predictor: str = SQL_LINEAR, ctes: str = "") -> str:
     keys = ", ".join(spec.keys)
     kind = "DATE" if spec.unit == "day" else "TIMESTAMP"
 
@@ -206,9 +206,9 @@ def _sql_backtest(series, spec, seed, actual, steps, include_seed=False) -> str:
     columns = (spec.time, *spec.keys, "actual_ridership", "prediction")
     after = "" if include_seed else f"WHERE {spec.time} > {kind} '{seed[1]}'"
     return (
-        f"WITH {sql_model_ctes(series, spec)}, seed AS MATERIALIZED (SELECT * FROM model WHERE {between(seed)}), "
+        f"WITH {sql_model_ctes(series, spec)}, {ctes} seed AS MATERIALIZED (SELECT * FROM model WHERE {between(seed)}), "
         f"actual AS MATERIALIZED (SELECT {spec.time}, {keys}, ridership FROM model WHERE {between(actual)}), "
-        f"{_sql_loop(spec, steps, 'seed', 'actual')}, "
+        f"{_sql_loop(spec, steps, 'seed', 'actual', predictor)}, "
         f"known AS (SELECT {spec.time}, {keys}, ridership AS actual_ridership FROM model), "
         f"result AS (SELECT * FROM history_{steps} JOIN known USING ({spec.time}, {keys}) {after}) "
         f"SELECT {sql_edge(spec, columns)} FROM result"
@@ -219,22 +219,22 @@ DAILY_TEST = (DAILY_SEED, DAILY_ACTUAL, DAILY_TEST_STEPS)
 HOURLY_TEST = (HOURLY_SEED, HOURLY_ACTUAL, HOURLY_TEST_STEPS)
 
 QUERIES = [
-    Query("next_step_input_daily", _next_input(daily_model, DAILY), _sql_next_input(SQL_DAILY, DAILY)),
-    Query("next_step_input_hourly", _next_input(hourly_model, HOURLY), _sql_next_input(SQL_HOURLY, HOURLY)),
+    Query("next_step_input_daily", _next_input(daily_table, DAILY), _sql_next_input(SQL_DAILY, DAILY)),
+    Query("next_step_input_hourly", _next_input(hourly_table, HOURLY), _sql_next_input(SQL_HOURLY, HOURLY)),
     Query("shifted_lags", _shifted, _sql_shifted()),
-    Query("predict_next_linear_daily", _next(daily_model, DAILY), _sql_next(SQL_DAILY, DAILY)),
-    Query("predict_next_linear_hourly", _next(hourly_model, HOURLY), _sql_next(SQL_HOURLY, HOURLY)),
-    Query("recursive_forecast_linear_daily", _recursive(daily_model, DAILY, DAILY_STEPS),
-          _sql_recursive(SQL_DAILY, DAILY, DAILY_STEPS)),
-    Query("recursive_forecast_linear_hourly", _recursive(hourly_model, HOURLY, HOURLY_STEPS),
-          _sql_recursive(SQL_HOURLY, HOURLY, HOURLY_STEPS)),
-    Query("forecast_only", _forecast_only, _sql_recursive(SQL_DAILY, DAILY, 2)),
-    Query("backtest_linear_daily", _backtest(daily_model, DAILY, *DAILY_TEST),
-          _sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST)),
-    Query("backtest_linear_daily_with_seed", _backtest(daily_model, DAILY, *DAILY_TEST, True),
-          _sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST, True)),
-    Query("backtest_linear_hourly", _backtest(hourly_model, HOURLY, *HOURLY_TEST),
-          _sql_backtest(SQL_HOURLY, HOURLY, *HOURLY_TEST)),
+    Query("predict_next_linear_daily", _next(daily_table, DAILY), sql_next(SQL_DAILY, DAILY)),
+    Query("predict_next_linear_hourly", _next(hourly_table, HOURLY), sql_next(SQL_HOURLY, HOURLY)),
+    Query("recursive_forecast_linear_daily", _recursive(daily_table, DAILY, DAILY_STEPS),
+          sql_recursive(SQL_DAILY, DAILY, DAILY_STEPS)),
+    Query("recursive_forecast_linear_hourly", _recursive(hourly_table, HOURLY, HOURLY_STEPS),
+          sql_recursive(SQL_HOURLY, HOURLY, HOURLY_STEPS)),
+    Query("forecast_only", _forecast_only, sql_recursive(SQL_DAILY, DAILY, 2)),
+    Query("backtest_linear_daily", _backtest(daily_table, DAILY, *DAILY_TEST),
+          sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST)),
+    Query("backtest_linear_daily_with_seed", _backtest(daily_table, DAILY, *DAILY_TEST, True),
+          sql_backtest(SQL_DAILY, DAILY, *DAILY_TEST, True)),
+    Query("backtest_linear_hourly", _backtest(hourly_table, HOURLY, *HOURLY_TEST),
+          sql_backtest(SQL_HOURLY, HOURLY, *HOURLY_TEST)),
     Query("joined_actuals", _joined_actuals,
           f"WITH {sql_model_ctes(SQL_DAILY, DAILY)} SELECT "
           f"{sql_edge(DAILY, (DAILY.time, *DAILY.keys, 'ridership_lag_1'))}, ridership AS actual_ridership FROM model"

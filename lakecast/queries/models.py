@@ -1,8 +1,7 @@
 """Fitted models: metrics, publishing, next step, recursion and backtests.
 
-Tree ensembles have no SQL form, so these run without it. The forests are fitted with the
-published settings, the boosted trees with fewer rounds and levels (the library's defaults
-are the published ones); the forecasting queries use a smaller forest.
+Tree ensembles have no SQL form, so these run without it. All are fitted with the published
+settings, which are the library's defaults: depth 10, 100 trees or rounds.
 """
 
 from __future__ import annotations
@@ -29,33 +28,27 @@ from lakecast.queries.common import (
     HOURLY,
     Query,
     comparable,
-    daily_model,
+    daily_table,
     daily_series,
-    hourly_model,
+    hourly_table,
 )
 from lakecast.plans.features import encode_series, model_table
 from lakecast.queries.forecasts import DAILY_STEPS, DAILY_TEST, HOURLY_TEST
-from lakecast.session import cut_lineage, scratch_path
+from lakecast.session import scratch_path
+from lakecast.sources.tables import create_or_replace_as
 
 CUTOFF = {"transit_date": "2001-01-01", "transit_timestamp": "2024-01-24"}
-FORECAST_TREES, FORECAST_DEPTH = 20, 6
 
 
-def _table(build, spec, spark, sf_dir):
-    """The model table, kept and spread over all cores: training reads it many times."""
-    cores = spark.sparkContext.defaultParallelism
-    return cut_lineage(build(spark, sf_dir).repartition(cores, spec.time))
-
-
-def _small_forest(train, spec):
-    return fit(train, spec.features, random_forest(spec.value, trees=FORECAST_TREES, max_depth=FORECAST_DEPTH))
+def _forest(train, spec):
+    return fit(train, spec.features, random_forest(spec.value))
 
 
 def _fit(build, spec, regressor):
     """Hold-out metrics of one regressor next to those of repeating the last value."""
 
     def run(spark, sf_dir):
-        model = _table(build, spec, spark, sf_dir)
+        model = build(spark, sf_dir)
         train, test = temporal_split(model, spec.time, CUTOFF[spec.time])
         features = feature_columns(model, {spec.time, spec.value, *spec.carried})
         fitted = evaluate(fit(train, features, regressor()), test, spec.value)
@@ -72,10 +65,10 @@ def _fit(build, spec, regressor):
 def _publish_best(spark, sf_dir):
     """Test predictions of the better of two models, labels decoded."""
     series, codes = encode_series(daily_series(spark, sf_dir), DAILY_LABELS)
-    model = _table(lambda *_: model_table(series, DAILY), DAILY, spark, sf_dir)
+    model = create_or_replace_as(model_table(series, DAILY), scratch_path(spark, "date-model"))
     regressors = {
-        "boosted": boosted_trees("ridership", max_depth=4, rounds=5, engine="spark"),
-        "forest": random_forest("ridership", trees=FORECAST_TREES, max_depth=FORECAST_DEPTH),
+        "boosted": boosted_trees("ridership"),
+        "forest": random_forest("ridership"),
     }
     _, predictions = fit_on_split(model, DAILY, CUTOFF[DAILY.time], regressors)
     published = publish(predictions, DAILY, codes, DAILY_LABELS, extra=("ridership", "transfer"))
@@ -86,9 +79,9 @@ def _predict_next(build, spec):
     """A model is saved, loaded, and asked for the next step."""
 
     def run(spark, sf_dir):
-        model = _table(build, spec, spark, sf_dir)
+        model = build(spark, sf_dir)
         path = scratch_path(spark, "model")
-        save_model(_small_forest(model, spec), path)
+        save_model(_forest(model, spec), path)
         return comparable(predict_next(model, spec, load_model(path)))
 
     return run
@@ -96,31 +89,31 @@ def _predict_next(build, spec):
 
 def _recursive(build, spec, steps):
     def run(spark, sf_dir):
-        model = _table(build, spec, spark, sf_dir)
-        return comparable(recursive_forecast(model, spec, _small_forest(model, spec), steps))
+        model = build(spark, sf_dir)
+        return comparable(recursive_forecast(model, spec, _forest(model, spec), steps))
 
     return run
 
 
 def _backtest(build, spec, seed, actual, steps):
     def run(spark, sf_dir):
-        model = _table(build, spec, spark, sf_dir)
+        model = build(spark, sf_dir)
         train, _ = temporal_split(model, spec.time, actual[0])
-        return comparable(backtest(model, spec, _small_forest(train, spec), seed, actual, steps))
+        return comparable(backtest(model, spec, _forest(train, spec), seed, actual, steps))
 
     return run
 
 
 QUERIES = [
-    Query("fit_forest_daily", _fit(daily_model, DAILY, lambda: random_forest("ridership"))),
-    Query("fit_boosted_daily", _fit(daily_model, DAILY, lambda: boosted_trees("ridership", max_depth=5, rounds=20))),
-    Query("fit_forest_hourly", _fit(hourly_model, HOURLY, lambda: random_forest("ridership"))),
-    Query("fit_boosted_hourly", _fit(hourly_model, HOURLY, lambda: boosted_trees("ridership", max_depth=5, rounds=20))),
+    Query("fit_forest_daily", _fit(daily_table, DAILY, lambda: random_forest("ridership"))),
+    Query("fit_boosted_daily", _fit(daily_table, DAILY, lambda: boosted_trees("ridership"))),
+    Query("fit_forest_hourly", _fit(hourly_table, HOURLY, lambda: random_forest("ridership"))),
+    Query("fit_boosted_hourly", _fit(hourly_table, HOURLY, lambda: boosted_trees("ridership"))),
     Query("publish_best", _publish_best),
-    Query("predict_next_daily", _predict_next(daily_model, DAILY)),
-    Query("predict_next_hourly", _predict_next(hourly_model, HOURLY)),
-    Query("recursive_forecast_daily", _recursive(daily_model, DAILY, DAILY_STEPS)),
-    Query("recursive_forecast_hourly", _recursive(hourly_model, HOURLY, 1)),
-    Query("backtest_daily", _backtest(daily_model, DAILY, *DAILY_TEST)),
-    Query("backtest_hourly", _backtest(hourly_model, HOURLY, *HOURLY_TEST)),
+    Query("predict_next_daily", _predict_next(daily_table, DAILY)),
+    Query("predict_next_hourly", _predict_next(hourly_table, HOURLY)),
+    Query("recursive_forecast_daily", _recursive(daily_table, DAILY, DAILY_STEPS)),
+    Query("recursive_forecast_hourly", _recursive(hourly_table, HOURLY, 1)),
+    Query("backtest_daily", _backtest(daily_table, DAILY, *DAILY_TEST)),
+    Query("backtest_hourly", _backtest(hourly_table, HOURLY, *HOURLY_TEST)),
 ]

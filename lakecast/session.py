@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,15 +49,12 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, because executors share no local disk.
+    Without that setting it is a folder below the warehouse, which executors share as well.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="lakecast-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
@@ -75,6 +71,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _width(column, kind: T.DataType):
+    """Bytes of a value; nested values count with all they hold."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType):
+        inner = F.transform(column, lambda x: _width(x, kind.elementType))
+        size = F.aggregate(inner, F.lit(8).cast("long"), lambda total, x: total + x)
+    elif isinstance(kind, T.MapType):
+        size = _width(F.map_keys(column), T.ArrayType(kind.keyType)) + _width(F.map_values(column), T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.StructType):
+        size = sum((_width(column[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size, F.lit(0)).cast("long")
+
+
 def is_small(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
@@ -85,10 +97,7 @@ def is_small(
     """
     width = F.lit(0)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType | T.BinaryType):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-        else:
-            width = width + F.lit(8)
+        width = width + _width(F.col(f"`{field.name}`"), field.dataType)
     rows, size = (
         df.limit(max_rows + 1)
         .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,20 @@ def file_columns(spark: SparkSession, path: str) -> list[str]:
         return scan_parquet(spark, path).columns
 
 
+def common_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
+    """Columns that every file below ``path`` has, and partition columns.
+
+    Each file's schema is read from its own footer, several at a time; pass the files of a
+    batch. A column that one of them lacks would read as null there.
+    """
+    merged = file_columns(spark, path)
+    with nanos_as_long(spark), ThreadPool(8) as pool:
+        files = spark.read.format(fmt).load(path).inputFiles()
+        each = pool.map(lambda name: set(spark.read.format(fmt).load(name).columns), files)
+    anywhere, everywhere = set().union(*each), set.intersection(*each) if each else set()
+    return [c for c in merged if c in everywhere or c not in anywhere]
+
+
 def scan_code_csv(
     spark: SparkSession, path: str, label: str, index: str, code_type: str = "int"
 ) -> DataFrame:

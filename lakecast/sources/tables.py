@@ -56,11 +56,18 @@ def write_partitioned(
 
 
 def write_quarantine(
-    good: DataFrame, bad: DataFrame, good_path: str, bad_path: str
+    good: DataFrame, bad: DataFrame, good_path: str, bad_path: str, batch: str | None = None
 ) -> None:
-    """Append both sides; no shuffle, no cache, each side is one filtered scan."""
-    good.write.mode("append").parquet(good_path)
-    bad.write.mode("append").parquet(bad_path)
+    """Write both sides; no shuffle, no cache, each side is one filtered scan.
+
+    Rows of a named ``batch`` replace what an earlier run of it left; they are in a folder
+    of their own, which reads as the column ``batch``. Without a name they are appended.
+    """
+    for rows, path in ((good, good_path), (bad, bad_path)):
+        if batch is None:
+            rows.write.mode("append").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
 def scan_warehouse(
@@ -103,21 +110,33 @@ def replace_self(df: DataFrame, root: str) -> DataFrame:
     """Replace a table by a query that may read it, for instance a union with itself.
 
     The new rows go to a fresh version folder while the old one stays readable; only then
-    the pointer moves. A job that dies half-way leaves the old version in place.
+    a new pointer is written and renamed over the old one. A job that dies at any point leaves
+    the old version or the new one in place.
     """
     spark = df.sparkSession
     root = root.rstrip("/")
     version = f"version={uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{version}")
-    pointer, fs = _path_in(spark, f"{root}/{_POINTER}")
-    out = fs.create(pointer, True)
+    fresh, fs = _path_in(spark, f"{root}/_{version}")
+    out = fs.create(fresh, True)
     try:
         out.write(bytearray(version, "utf-8"))
     finally:
         out.close()
+    _rename_over(spark, fresh, _path_in(spark, f"{root}/{_POINTER}")[0])
     return read_current(spark, root)
 
 
+def _rename_over(spark: SparkSession, source, target) -> None:
+    """Rename a file over another, which stays if the rename fails."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), conf).rename(source, target, how)
+
+
 def latest_in_partitions(
     spark: SparkSession, path: str, time: str, partition: str = "year", fmt: str = "parquet"
 ):

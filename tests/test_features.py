@@ -14,7 +14,7 @@ from lakecast.operators.encoding import (
     decode_labels,
     decode_with_maps,
     encode,
-    rank_labels,
+    extend_code_table,
     rank_labels_by_range,
 )
 from lakecast.operators.projections import cast_measures, cast_to_schema, filter_last_k
@@ -23,7 +23,6 @@ from lakecast.operators.windows import (
     add_trailing_means,
     drop_null_lags,
     number_rows,
-    split_if_long,
 )
 from lakecast.plans.features import add_calendar, fill_gaps, group_daily, group_hourly, model_table
 from lakecast.series import DAILY, HOURLY, SeriesSpec
@@ -127,9 +126,6 @@ def test_split_series_give_the_same_features(spark):
     whole = sorted(map(str, model_table(df, spec).collect()))
     for size in (7, 10, 64, 5000):
         assert sorted(map(str, model_table(df, spec, split_rows=size).collect())) == whole
-    assert split_if_long(df, spec) is None
-    assert split_if_long(df, spec, limit=499) == 499
-    assert split_if_long(df.limit(0), spec) is None
     with pytest.raises(ValueError, match="at least 7"):
         add_trailing_means(df, spec, split_rows=6)
     ranks = number_rows(df, spec).groupBy("k").agg(F.max("_rank"), F.count_distinct("_rank"))
@@ -164,14 +160,29 @@ def test_codes_are_dense_and_decode_back(spark):
     assert decode_with_maps(unknown, {"label": {1: "x"}}).first()["label"] is None
 
 
-def test_codes_by_range_equal_codes_in_one_task(spark):
+def test_codes_by_range_are_dense_ranks(spark):
     labels = spark.range(5000).select(
         F.concat(F.lit("c"), F.col("id") % 2).alias("column"),
         F.when(F.col("id") > 3, F.sha2(F.col("id").cast("string"), 256)).alias("label"),
     ).distinct()
-    assert sorted(map(str, rank_labels_by_range(labels, 7).collect())) == sorted(
-        map(str, rank_labels(labels).collect())
-    )
+    expected = []
+    for column in ("c0", "c1"):
+        own = [r["label"] for r in labels.collect() if r["column"] == column]
+        in_order = sorted(own, key=lambda label: (label is not None, label or ""))
+        expected += [(column, label, code) for code, label in enumerate(in_order, 1)]
+    found = [tuple(r) for r in rank_labels_by_range(labels, 7).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_extended_codes_keep_the_old_ones(spark):
+    def rows(*labels):
+        return spark.createDataFrame([(v, "x") for v in labels], "label string, other string")
+
+    first = build_code_table(rows("b", "d", None), ["label", "other"])
+    second = extend_code_table(first, rows("a", "b", "c", None), ["label", "other"])
+    found = {(r["column"], r["label"]): r["code"] for r in second.collect()}
+    assert found == {("label", None): 1, ("label", "b"): 2, ("label", "d"): 3, ("label", "a"): 4, ("label", "c"): 5, ("other", "x"): 1}
+    assert extend_code_table(second, rows("c"), ["label", "other"]).count() == second.count()
 
 
 def test_month_of_a_file_name(spark):

@@ -11,6 +11,9 @@ from lakecast.operators.aggregates import regression_metrics
 from lakecast.plans.features import model_table
 from lakecast.plans.forecasting import (
     backtest,
+    ended_series,
+    latest_time,
+    series_state,
     live_state,
     next_step_input,
     predict_next,
@@ -89,8 +92,17 @@ def test_recursion_equals_the_replayed_tables(spark):
         got = recursive_forecast(model, SPEC, linear, 9, checkpoint_every=every)
         assert sorted((r["k_index"], r["d"], r["prediction"]) for r in got.collect()) == expected
     live = live_state(model, SPEC)
-    assert live.rows.count() == 4 and len(expected) == 4 * 9
-    assert [r["k_index"] for r in live.ended.collect()] == [4]
+    assert live.count() == 4 and len(expected) == 4 * 9
+    assert [r["k_index"] for r in ended_series(model, SPEC).collect()] == [4]
+
+
+def test_state_reads_only_the_last_units(spark, tmp_path):
+    rows = [(k, n, n + k) for k in range(3) for n in range(90)]
+    model_table(daily(spark, rows), SPEC).write.parquet(str(tmp_path / "model"))
+    stored = spark.read.parquet(str(tmp_path / "model"))
+    plan = series_state(stored, SPEC, latest_time(stored, SPEC))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "GreaterThanOrEqual(d," in plan
+    assert f"{SPEC.means[0]}" not in plan
 
 
 def test_no_rows_no_forecast(spark):

@@ -32,6 +32,7 @@ from lakecast.sources.tables import (
     write_partitioned,
     write_warehouse,
 )
+from lakecast.session import is_small
 from lakecast.streaming.incremental import run_incremental_stream
 
 
@@ -169,6 +170,26 @@ def test_table_replaced_by_itself(spark, tmp_path):
     assert sorted(r[0] for r in read_current(spark, root).collect()) == [0, 1, 2, 3, 4]
 
 
+def test_a_failed_pointer_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "history")
+    replace_self(spark.range(3), root)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr("lakecast.sources.tables._rename_over", fail)
+    with pytest.raises(OSError, match="lost"):
+        replace_self(spark.range(9), root)
+    assert read_current(spark, root).count() == 3
+
+
+def test_nested_values_count_when_a_side_is_measured(spark):
+    small = spark.range(10).selectExpr("array(id) as a", "map('k', struct(id)) as m")
+    assert is_small(small) and is_small(small, max_bytes=1200) and not is_small(small, max_bytes=100)
+    large = spark.range(10).selectExpr("array(repeat('x', 100000)) as a")
+    assert not is_small(large, max_bytes=900_000) and is_small(large, max_bytes=1_100_000)
+
+
 def test_warehouse_table(spark):
     write_warehouse(spark.range(3), "lakecast_test_table", "overwrite")
     write_warehouse(spark.range(2), "lakecast_test_table", "append")
@@ -194,8 +215,34 @@ def test_validated_load_is_idempotent(spark, tmp_path):
         assert load(second, tmp_path).status == "merged"
         assert scan_table(spark, path).count() == 4
     assert latest_in_partitions(spark, path, "ts") == dt.datetime(2024, 1, 2)
-    old = facts(spark, [("2020-01-01 00:00:00", "a", 1.0)])
-    assert load(old, tmp_path).status == "up_to_date"
+    late = facts(spark, [("2020-01-01 00:00:00", "a", 1.0), (None, "a", 7.0)])
+    assert load(late, tmp_path, since_latest=True).status == "up_to_date"
+    for _ in range(2):
+        assert load(late, tmp_path).status == "merged"
+        assert scan_table(spark, path).count() == 6
+    assert scan_table(spark, path).where("ts is null").first()["y"] == 7.0
+
+
+def test_quarantine_of_a_batch_loaded_again_stays_as_it_was(spark, tmp_path):
+    load(facts(spark, [("2024-01-01 00:00:00", "a", 1.0)]), tmp_path)
+    mixed = facts(spark, [("2024-01-02 00:00:00", "a", 1.0), (None, "b", 999.0), ("2023-01-02 00:00:00", "c", 999.0)])
+    for batch in (mixed, mixed.orderBy("k"), mixed):
+        assert load(batch, tmp_path).status == "quarantined"
+    bad = scan_table(spark, str(tmp_path / "bad"))
+    assert sorted(r["k"] for r in bad.collect()) == ["b", "c"]
+    assert scan_table(spark, str(tmp_path / "good")).count() == 1
+    load(mixed.limit(2), tmp_path)
+    assert scan_table(spark, str(tmp_path / "bad")).count() == 3
+
+
+def test_loads_take_a_format(spark, tmp_path):
+    first = facts(spark, [("2024-01-01 00:00:00", "a", 1.0)])
+    second = first.union(facts(spark, [("2020-01-01 00:00:00", "b", 2.0)]))
+    for batch in (first, second, second):
+        load(batch, tmp_path, fmt="orc")
+    assert scan_table(spark, str(tmp_path / "table"), "orc").count() == 2
+    paths = [str(tmp_path / name) for name in ("gold", "increment")]
+    assert [append_curated(b, *paths, ["ts", "k"], fmt="orc") for b in (first, second, second)] == [1, 1, 0]
 
 
 def test_failed_batch_stays_out(spark, tmp_path):

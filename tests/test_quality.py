@@ -90,6 +90,19 @@ def test_membership_by_table(spark, rows):
     assert summary.first()["partial_unexpected_list"] == ["bus", "bus"]
 
 
+def test_no_value_is_in_an_empty_set(rows):
+    rule = [Rule.in_set("mode", [])]
+    assert run_suite(rows, rule).first()["unexpected_count"] == 5
+    assert [side.count() for side in isolate(rows, rule)] == [0, 5]
+
+
+def test_a_value_rule_on_an_absent_column_fails_every_row(rows):
+    rules = [Rule.between("mode_", 0, 1), RULES[0]]
+    assert not run_suite(rows, rules).where("rule = 0").first()["success"]
+    assert [side.count() for side in isolate(rows, rules)] == [0, 5]
+    assert good_bad_ratio(rows, rules).first()["good_ratio"] == 0
+
+
 def test_samples_are_bounded(spark):
     df = spark.range(1000).selectExpr("cast(id as string) as mode")
     first = run_suite(df, RULES[:1], sample=20).first()
