@@ -7,21 +7,30 @@ no sequence crosses documents and none holds padding; batches are made of equal
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecast.llm.common import byte_texts
-
 SEQUENCE = 4096
 END_ID = 2
 #: Words a worker remembers with their ids; bounds its memory.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 400_000
+
+# Plain words: printable ASCII but for the apostrophe and angle brackets, and the letters of Latin-1.
+_PLAIN = regex.compile(r"[!-&(-;=?-~À-ÖØ-öø-ÿ]+")
+
+# Byte-level models name each byte by a letter: printable ones by themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTER = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_BYTE_LETTERS = {c: "".join(_LETTER[b] for b in chr(c).encode()) for c in range(33, 256)}
 
 SCHEMA = "{key} {key_type}, start long, length long, doc_tokens long, ids binary"
 
@@ -43,23 +52,29 @@ class WordIds:
     For tokenizers that drop white space and never merge across it: the ids of a text are then
     those of its words in turn. The first ``WORDS_KEPT`` distinct words are remembered, so frequent ones are
     encoded once; any other word is encoded once for each batch of texts.
+
+    Words of plain Latin letters, digits and marks are cut by the tokenizer's own pattern, and their parts,
+    which many words share, go straight to its model; that is what the tokenizer does with them after
+    a normalisation that only changes their case. All other words take the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._place: dict[bytes, int] = {}
+        self._pattern = _plain_pattern(path)
+        self._parts: dict[str, list[int]] = {}
+        self._place: dict[str, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
         self._starts = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         # In small parts, as the tokenizer's results are many times as large as their ids.
         for first in range(0, len(words), 4096):
             self._learn_part(words[first : first + 4096])
 
-    def _learn_part(self, words: list[bytes]) -> None:
-        each = [e.ids for e in self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    def _learn_part(self, words: list[str]) -> None:
+        each = self._encoded(words)
         used = int(self._starts[len(self._place)])
         ends = used + np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
         total = int(ends[-1])
@@ -72,25 +87,64 @@ class WordIds:
         self._starts[first + 1 : first + 1 + len(words)] = ends
         self._place.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def _forget(self, words: list[bytes]) -> None:
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        if self._pattern is None:
+            return [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
+        others = iter(self._tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
+        if len(self._parts) > WORDS_KEPT:
+            self._parts.clear()
+        return [self._joined(w) if p else next(others).ids for w, p in zip(words, plain, strict=True)]
+
+    def _joined(self, word: str) -> list[int]:
+        out, parts = [], self._parts
+        for part in self._pattern.findall(word.lower()):
+            ids = parts.get(part)
+            if ids is None:
+                ids = parts[part] = [t.id for t in self._tokenizer.model.tokenize(part.translate(_BYTE_LETTERS))]
+            out += ids
+        return out
+
+    def _forget(self, words: list[str]) -> None:
         """Forgets the last words learnt, as far as there are too many."""
         kept = max(WORDS_KEPT, len(self._place) - len(words))
         for word in words[kept - len(self._place) + len(words) :]:
             del self._place[word]
 
-    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        split = [text.split() for text in texts]
-        new = list(set().union(*split).difference(self._place))
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; a null text has none."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        ends = words.offsets.to_numpy()
+        coded = words.values[ends[0] : ends[-1]].dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self._place]
         if new:
             self._learn(new)
-        for words in split:
-            at = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
-            first = self._starts[at]
-            count = self._starts[at + 1] - first
-            shift = np.repeat(first - (np.cumsum(count) - count), count)
-            yield self._ids[np.arange(len(shift)) + shift]
+        place = np.fromiter(map(self._place.__getitem__, distinct), np.int64, len(distinct))
+        at = place[coded.indices.to_numpy()]
+        first = self._starts[at]
+        count = self._starts[at + 1] - first
+        upto = np.concatenate([[0], np.cumsum(count)])
+        ids = self._ids[np.arange(upto[-1]) + np.repeat(first - upto[:-1], count)]
         if len(self._place) > WORDS_KEPT:
             self._forget(new)
+        return np.split(ids, upto[ends[1:-1] - ends[0]])
+
+
+def _plain_pattern(path: str):
+    """The tokenizer's pattern, if plain words need only lower case, that pattern and its byte letters; else None."""
+    with open(path) as file:
+        spec = json.load(file)
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    normalizers = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    if normalizers != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
+        return None
+    split, letters = steps
+    kept_parts = split["behavior"] == "Removed" and split["invert"]
+    special = any(_PLAIN.fullmatch(t["content"]) for t in spec["added_tokens"])
+    if not kept_parts or letters["use_regex"] or letters["add_prefix_space"] or special:
+        return None
+    return regex.compile(split["pattern"]["Regex"])
 
 
 @lru_cache(maxsize=2)
@@ -118,8 +172,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         ids_of, end = word_ids(tokenizer), np.array([end_id], np.uint32)
         for batch in batches:
             keys, block, size = batch.column(0), [], 0
-            texts = [t or b"" for t in byte_texts(batch.column(1))]
-            for row, ids in enumerate(ids_of(texts)):
+            for row, ids in enumerate(ids_of(batch.column(1)) if batch.num_rows else ()):
                 ids = np.concatenate([ids, end])
                 for start, length in pieces_of(len(ids), longest):
                     block.append((row, start, length, len(ids), ids[start : start + length].tobytes()))
