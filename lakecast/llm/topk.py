@@ -125,11 +125,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int =
     asked = kept(_blocks(queries.dropDuplicates(["vec_id"]), per_block)).withColumnRenamed("ids", "query_ids")
     lists = stored(lists, "candidate-blocks")
     places = kept(lists.select("dims", "block").distinct())
+    pairs = asked.select("dims", "query_ids", F.col("parts").alias("query_parts")).join(places, "dims")
+    # A pair is little to read and much to compute, so each is a task.
+    spread = max(1, pairs.count())
     pairs = (
-        asked.select("dims", "query_ids", F.col("parts").alias("query_parts"))
-        .join(places, "dims")
-        .join(lists, ["dims", "block"])
+        pairs.join(lists, ["dims", "block"])
         .select("dims", "block", "query_ids", "query_parts", "ids", "parts")
+        .repartition(spread, "block", "query_ids")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
