@@ -49,8 +49,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the mix into sequences of power-of-two lengths; ``ids`` are packed 32-bit numbers."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Packs the mix into sequences of power-of-two lengths; ``ids`` are packed 32-bit numbers.
+
+    Workers remember fewer words than they would alone: their executors still hold what the
+    stages before left in memory.
+    """
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), words_kept=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 SEQUENCE = 4096
 END_ID = 2
-#: Words a worker remembers with their ids; bounds its memory.
+#: Words a worker remembers with their ids, and bytes of text it encodes at once; they bound its memory.
 WORDS_KEPT = 400_000
+TEXT_AT_ONCE = 2 * 1024 * 1024
 
 # Plain words: printable ASCII but for the apostrophe and angle brackets, and the letters of Latin-1.
 _PLAIN = regex.compile(r"[!-&(-;=?-~À-ÖØ-öø-ÿ]+")
@@ -50,7 +51,7 @@ class WordIds:
     """Ids of whole texts from ids of their words.
 
     For tokenizers that drop white space and never merge across it: the ids of a text are then
-    those of its words in turn. The first ``WORDS_KEPT`` distinct words are remembered, so frequent ones are
+    those of its words in turn. The first ``words_kept`` distinct words are remembered, so frequent ones are
     encoded once; any other word is encoded once for each batch of texts.
 
     Words of plain Latin letters, digits and marks are cut by the tokenizer's own pattern, and their parts,
@@ -58,11 +59,12 @@ class WordIds:
     a normalisation that only changes their case. All other words take the tokenizer's whole way.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._pattern = _plain_pattern(path)
+        self._words_kept = words_kept
         self._parts: dict[str, list[int]] = {}
         self._place: dict[str, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
@@ -92,7 +94,7 @@ class WordIds:
             return [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         plain = [bool(_PLAIN.fullmatch(w)) for w in words]
         others = iter(self._tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
-        if len(self._parts) > WORDS_KEPT:
+        if len(self._parts) > self._words_kept // 4:
             self._parts.clear()
         return [self._joined(w) if p else next(others).ids for w, p in zip(words, plain, strict=True)]
 
@@ -107,7 +109,7 @@ class WordIds:
 
     def _forget(self, words: list[str]) -> None:
         """Forgets the last words learnt, as far as there are too many."""
-        kept = max(WORDS_KEPT, len(self._place) - len(words))
+        kept = max(self._words_kept, len(self._place) - len(words))
         for word in words[kept - len(self._place) + len(words) :]:
             del self._place[word]
 
@@ -126,7 +128,7 @@ class WordIds:
         count = self._starts[at + 1] - first
         upto = np.concatenate([[0], np.cumsum(count)])
         ids = self._ids[np.arange(upto[-1]) + np.repeat(first - upto[:-1], count)]
-        if len(self._place) > WORDS_KEPT:
+        if len(self._place) > self._words_kept:
             self._forget(new)
         return np.split(ids, upto[ends[1:-1] - ends[0]])
 
@@ -148,18 +150,26 @@ def _plain_pattern(path: str):
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, words_kept: int = WORDS_KEPT) -> WordIds:
     """One per worker, which lives longer than a task."""
-    return WordIds(path)
+    return WordIds(path, words_kept)
 
 
-def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", longest: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in parts of about ``TEXT_AT_ONCE``."""
+    rows = max(1, batch.num_rows * TEXT_AT_ONCE // max(1, batch.nbytes))
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
+def pack(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", longest: int = SEQUENCE, end_id: int = END_ID, words_kept: int = WORDS_KEPT
+) -> DataFrame:
     """One row per piece: ``key, start, length, doc_tokens, ids, sequence_id, offset``.
 
     ``ids`` are packed unsigned 32-bit little-endian numbers (``unpacked`` reads them),
     ``doc_tokens`` counts the document's ids with the end id. ``length`` is the bucket: rows of
     equal length make a batch without padding. ``sequence_id`` is unique, ``offset`` 0, as a
-    sequence is one piece. Texts are encoded whole.
+    sequence is one piece. Texts are encoded whole. A worker remembers the ids of ``words_kept`` words.
 
     Nulls: a null or empty text has the end id alone; a null key stays null. Repeated rows are
     packed as often as they occur. Very long texts give many full sequences. An empty table
@@ -169,10 +179,10 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     out = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text_"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = word_ids(tokenizer), np.array([end_id], np.uint32)
-        for batch in batches:
+        ids_of, end = word_ids(tokenizer, words_kept), np.array([end_id], np.uint32)
+        for batch in chain.from_iterable(map(_slices, batches)):
             keys, block, size = batch.column(0), [], 0
-            for row, ids in enumerate(ids_of(batch.column(1)) if batch.num_rows else ()):
+            for row, ids in enumerate(ids_of(batch.column(1))):
                 ids = np.concatenate([ids, end])
                 for start, length in pieces_of(len(ids), longest):
                     block.append((row, start, length, len(ids), ids[start : start + length].tobytes()))
