@@ -1,9 +1,11 @@
 """Line dedup by a log-template tree.
 
 Lines are put into the leaves of a tree of fixed depth: by their number of tokens, then by their leading
-tokens. Tokens with digits are variable from the start. Within a leaf, a token that enough
-documents have at its position is fixed, any other is a variable field; a line's template is
-what remains. Templates that recur across documents are dropped, but for their first line.
+tokens. Tokens with digits are variable from the start. Within a leaf, tokens are counted by position;
+a line's most frequent tokens are fixed, and those that are far rarer than these are variable
+fields, so a field stays one however often each of its values stands. The lines of recurring templates
+are taken out of a leaf and the rest is counted again, as long as that finds any: a small template is not
+hidden by the values of a large one. All lines of a recurring template are dropped, but for the first.
 
 All expressions are built-in. Lines are reduced to hashes before the first shuffle, so only lines of
 leaves that several documents share travel with their tokens; equal lines travel once.
@@ -26,13 +28,15 @@ FIELD = "<*>"
 class Tree:
     """``depth`` leading tokens make a leaf. A template recurs if ``documents`` have it. It has
     at least ``fixed`` fixed tokens; with variable fields, at least ``fixed_of_fields``, and that
-    ``share`` of its tokens. The last two keep sentences that merely share common words."""
+    ``share`` of its tokens. The last two keep sentences that merely share common words. A token is
+    fixed if it is in ``even`` of the documents that the line's needed fixed tokens are in."""
 
     depth: int = 3
     documents: int = 5
     fixed: int = 3
     fixed_of_fields: int = 6
     share: float = 0.75
+    even: float = 0.5
 
 
 _BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -61,11 +65,80 @@ def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
     return lines.where(long_enough).select("id", "hash", "line_no", "line", leaf.alias("leaf"))
 
 
-def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, hash, line_no, template, first``: the lines of recurring templates.
+def _proposals(distinct: DataFrame, tree: Tree, least: int) -> DataFrame:
+    """``leaf, code, documents, level, template, template_id``: a line's possible templates, the preferred at level 0.
 
-    ``first`` marks a template's first line, in the order of key (nulls last), text hash and line number.
+    Tokens that fewer than ``least`` documents have are fields. The line needs so many fixed tokens; the rarest of
+    its most frequent ones gives the measure for all: fixed is what has ``even`` of it, else what
+    has all of it, else what ``documents`` have.
     """
+    words = F.split("masked", " ")
+    tokens = distinct.select("leaf", "code", "documents", F.size(words).alias("n"), F.posexplode(words).alias("place", "token"))
+    counted = (
+        tokens.where(F.col("token") != FIELD)
+        .groupBy("leaf", "place", "token")
+        .agg(F.sum("documents").alias("have"))
+        .where(F.col("have") >= least)
+    )
+    # Only tokens that can be fixed travel on; the places between them are fields.
+    parts = F.collect_list(F.struct("place", "token", "have")).alias("parts")
+    lines = tokens.join(counted, ["leaf", "place", "token"]).groupBy("leaf", "code", "documents", "n").agg(parts)
+    needed = F.greatest(F.lit(tree.fixed_of_fields), F.ceil(tree.share * F.col("n")).cast("int"))
+    lines = lines.withColumn("needed", needed)
+    lines = lines.where((F.size("parts") >= F.col("needed")) | (F.size("parts") == F.col("n")) & (F.col("n") >= tree.fixed))
+    lines = lines.withColumn("measure", F.get(F.sort_array(F.col("parts.have"), False), F.col("needed") - 1))
+
+    def template(cut: Column) -> Column:
+        fixed = F.filter("parts", lambda part: part["have"] >= cut)
+        enough = (F.size(fixed) >= F.col("needed")) | (F.size(fixed) == F.col("n"))
+        at = F.map_from_entries(F.transform(fixed, lambda part: F.struct(part["place"], part["token"])))
+        whole = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda p: F.coalesce(at[p], F.lit(FIELD))), " ")
+        return F.when(enough, whole)
+
+    cuts = (tree.even * F.col("measure"), F.col("measure"), F.lit(tree.documents))
+    each = F.array_distinct(F.array_compact(F.array(*map(template, cuts))))
+    return lines.select("leaf", "code", "documents", F.posexplode(each).alias("level", "template")).withColumn(
+        "template_id", F.xxhash64("leaf", "template")
+    )
+
+
+def _templates(shared: DataFrame, distinct: DataFrame, tree: Tree) -> DataFrame:
+    """``leaf, code, template_id, template`` of the distinct lines that have a recurring template.
+
+    Only leaves in which the round before found some are counted again, so rounds shrink fast.
+    """
+    line, found, rest, least = ["leaf", "code"], None, distinct, tree.documents
+    while True:
+        proposals = stored(_proposals(rest, tree, least), "proposals")
+        bounds = proposals.groupBy("template_id").agg(F.sum("documents").alias("most"))
+        bounds = bounds.where(F.col("most") >= tree.documents).select("template_id")
+        # A document may hold several lines of a template, so only the documents themselves tell.
+        recurring = (
+            shared.join(proposals.join(bounds, "template_id").select(*line, "template_id"), line)
+            .select("template_id", "id", "hash")
+            .distinct()
+            .groupBy("template_id")
+            .count()
+            .where(F.col("count") >= tree.documents)
+            .select("template_id")
+        )
+        if found is not None:
+            recurring = recurring.union(found.select("template_id")).distinct()
+        best = F.min(F.struct("level", "template_id", "template")).alias("best")
+        chosen = proposals.join(recurring, "template_id").groupBy(*line).agg(best).select(*line, "best.template_id", "best.template")
+        chosen = stored(chosen, "chosen-lines")
+        found = chosen if found is None else found.unionByName(chosen)
+        moved = chosen.select("leaf").distinct()
+        rest = rest.join(proposals.select(*line).distinct(), line, "left_semi").join(moved, "leaf", "left_semi")
+        rest = stored(rest.join(chosen, line, "left_anti"), "distinct-lines")
+        if rest.isEmpty():
+            return found
+        # What is left of a template may be few lines, which the documents found before complete.
+        least = 1
+
+
+def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``id, hash, line_no, template_id, first`` of the lines of recurring templates, and the templates."""
     lines = _lines(docs, key, text, tree)
     document = ["id", "hash"]
     leaves = kept(
@@ -78,36 +151,24 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", t
     weights = shared.select("leaf", "code", *document).distinct().groupBy("leaf", "code").agg(F.count(F.lit(1)).alias("documents"))
     texts = shared.groupBy("leaf", "code").agg(F.first("masked").alias("masked"))
     distinct = stored(weights.join(texts, ["leaf", "code"]), "distinct-lines")
-    tokens = distinct.select("leaf", "code", "documents", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    fixed = (
-        tokens.where(F.col("token") != FIELD)
-        .groupBy("leaf", "place", "token")
-        .agg(F.sum("documents").alias("have"))
-        .where(F.col("have") >= tree.documents)
-        .select("leaf", "place", "token")
-    )
-    # Only fixed tokens travel on; the places between them are fields.
-    parts = F.map_from_entries(F.collect_list(F.struct("place", "token")))
-    found = tokens.join(fixed, ["leaf", "place", "token"]).groupBy("leaf", "code").agg(parts.alias("parts"))
-    n_fixed = F.size("parts")
-    enough = F.when(n_fixed == F.col("n"), n_fixed >= tree.fixed).otherwise(
-        (n_fixed >= tree.fixed_of_fields) & (n_fixed >= tree.share * F.col("n"))
-    )
-    template = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda p: F.coalesce(F.col("parts")[p], F.lit(FIELD))), " ")
-    lengths = distinct.select("leaf", "code", F.size(F.split("masked", " ")).alias("n"))
-    templates = found.join(lengths, ["leaf", "code"]).where(enough).select("leaf", "code", template.alias("template"))
-    templates = templates.withColumn("template_id", F.xxhash64("leaf", "template"))
-    found = stored(shared.drop("masked").join(templates, ["leaf", "code"]).drop("leaf", "code"), "templates")
+    templates = _templates(shared, distinct, tree)
+    found = shared.join(templates.select("leaf", "code", "template_id"), ["leaf", "code"])
+    found = stored(found.select(*document, "line_no", "template_id"), "templates")
 
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "line_no")
-    recurring = (
-        found.select("template_id", *document).distinct().groupBy("template_id").count().where(F.col("count") >= tree.documents)
-    )
     firsts = found.groupBy("template_id").agg(F.min(place).alias("at"))
-    marks = recurring.join(firsts, "template_id").select("template_id", "at")
-    return found.join(marks, "template_id").select(
-        *document, "line_no", "template", place.eqNullSafe(F.col("at")).alias("first")
-    )
+    marks = found.join(firsts, "template_id").select(*document, "line_no", "template_id", place.eqNullSafe(F.col("at")).alias("first"))
+    return marks, templates
+
+
+def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, hash, line_no, template, first``: the lines of recurring templates.
+
+    ``first`` marks a template's first line, in the order of key (nulls last), text hash and line number.
+    """
+    marks, templates = _marked(docs, tree, key, text)
+    texts = templates.groupBy("template_id").agg(F.first("template").alias("template"))
+    return marks.join(texts, "template_id").select("id", "hash", "line_no", "template", "first")
 
 
 def drop_recurring(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,7 +185,7 @@ def drop_recurring(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", te
     """
     dropped, emptied = fresh(docs, "lines_dropped"), fresh(docs, "emptied")
     drops = (
-        recurring_lines(docs, tree, key, text)
+        _marked(docs, tree, key, text)[0]
         .where(~F.col("first"))
         .groupBy("id", "hash")
         .agg(F.collect_set("line_no").alias("drops"))

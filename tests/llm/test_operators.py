@@ -325,6 +325,23 @@ def test_line_dedup_keeps_one_of_many_copies(spark, none):
     assert templates.drop_recurring(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [100, 1000, 10_000])
+def test_word_fields_are_fields_at_every_size(spark, n):
+    rng = random.Random(n)
+    letters = "abcdefghij"
+    values = [f"{a}{b}" for a in letters for b in letters]
+
+    def line(i):
+        # One document in twenty has a smaller template, which shares leaf and field values with the large one.
+        by = "courier today" if i % 20 == 0 else "mail again"
+        return f"The weekly report for {rng.choice(values)}town was sent to {rng.choice(values)}son by {by}"
+
+    rows = [(i, f"{line(i)}\nnote{chr(97 + i % 26)} {'x' * (i % 50)}") for i in range(n)]
+    got = templates.recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.id, r.line_no) for r in got} == {(i, 0) for i in range(n)}
+    assert sum(r.first for r in got) == 2
+
+
 # --- neighbours ---------------------------------------------------------------------------
 
 
