@@ -5,7 +5,8 @@ tokens. Tokens with digits are variable from the start. Within a leaf, tokens ar
 a line's most frequent tokens are fixed, and those that are far rarer than these are variable
 fields, so a field stays one however often each of its values stands. The lines of recurring templates
 are taken out of a leaf and the rest is counted again, as long as that finds any: a small template is not
-hidden by the values of a large one. All lines of a recurring template are dropped, but for the first.
+hidden by the values of a large one. Other lines are compared as they are, digits included. All lines
+of a recurring template, and all that recur alike, are dropped, but for the first.
 
 All expressions are built-in. Lines are reduced to hashes before the first shuffle, so only lines of
 leaves that several documents share travel with their tokens; equal lines travel once.
@@ -42,10 +43,14 @@ class Tree:
 _BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
+def _plain(words: Column) -> Column:
+    """Tokens with single blanks between them."""
+    return F.trim(F.regexp_replace(words, f"{_BLANK}+", " "))
+
+
 def _masked(words: Column) -> Column:
-    """Tokens with single blanks between them, those with digits as fields."""
-    plain = F.trim(F.regexp_replace(words, f"{_BLANK}+", " "))
-    return F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)
+    """The same with fields in place of tokens that hold digits."""
+    return F.regexp_replace(_plain(words), "[^ ]*[0-9][^ ]*", FIELD)
 
 
 def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
@@ -144,7 +149,11 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
     leaves = kept(
         lines.select("leaf", *document).distinct().groupBy("leaf").count().where(F.col("count") >= tree.documents).select("leaf")
     )
-    shared = lines.join(broadcast_if_small(leaves), "leaf").select("leaf", *document, "line_no", _masked(F.col("line")).alias("masked"))
+    # Only lines with digits differ from their masked form.
+    raw = F.when(F.col("line").rlike("[0-9]"), F.xxhash64(_plain(F.col("line"))))
+    shared = lines.join(broadcast_if_small(leaves), "leaf").select(
+        "leaf", *document, "line_no", _masked(F.col("line")).alias("masked"), raw.alias("raw")
+    )
     shared = stored(shared.withColumn("code", F.xxhash64("masked")), "shared-lines")
 
     # Every distinct line once, weighing as many as the documents that have it.
@@ -153,7 +162,13 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
     distinct = stored(weights.join(texts, ["leaf", "code"]), "distinct-lines")
     templates = _templates(shared, distinct, tree)
     found = shared.join(templates.select("leaf", "code", "template_id"), ["leaf", "code"])
-    found = stored(found.select(*document, "line_no", "template_id"), "templates")
+    found = found.select(*document, "line_no", "template_id")
+
+    # A line that stands alike in enough documents recurs, whatever its tokens, if no template has it.
+    alike = shared.where(F.col("raw").isNotNull()).join(templates, ["leaf", "code"], "left_anti").select(*document, "line_no", "raw")
+    often = alike.select("raw", *document).distinct().groupBy("raw").count().where(F.col("count") >= tree.documents).select("raw")
+    exact = alike.join(often, "raw").select(*document, "line_no", F.xxhash64(F.lit("alike"), "raw").alias("template_id"))
+    found = stored(found.unionByName(exact), "templates")
 
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "line_no")
     firsts = found.groupBy("template_id").agg(F.min(place).alias("at"))
@@ -164,11 +179,11 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
 def recurring_lines(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, hash, line_no, template, first``: the lines of recurring templates.
 
-    ``first`` marks a template's first line, in the order of key (nulls last), text hash and line number.
+    ``template`` is null for lines that recur as they are. ``first`` marks a template's first line, in the order of key (nulls last), text hash and line number.
     """
     marks, templates = _marked(docs, tree, key, text)
     texts = templates.groupBy("template_id").agg(F.first("template").alias("template"))
-    return marks.join(texts, "template_id").select("id", "hash", "line_no", "template", "first")
+    return marks.join(texts, "template_id", "left").select("id", "hash", "line_no", "template", "first")
 
 
 def drop_recurring(docs: DataFrame, tree: Tree = Tree(), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -342,6 +342,16 @@ def test_word_fields_are_fields_at_every_size(spark, n):
     assert sum(r.first for r in got) == 2
 
 
+def test_lines_with_digits_recur_alike(spark):
+    table = " ".join(str(i * i) for i in range(30)) + " sum of squares"
+    alike = ["Licensed under CC BY-NC 4.0.", "Page 3 of 10", table]
+    rows = [(i, "\n".join([f"own{'x' * i} words", *alike, f"Chapter {i} of 10"])) for i in range(5)]
+    rows += [(10 + i, f"own{'y' * i} words\nPage 4 of 10") for i in range(4)]
+    got = templates.recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.id, r.line_no) for r in got} == {(i, k) for i in range(5) for k in (1, 2, 3)}
+    assert {(r.id, r.line_no) for r in got if r.first} == {(0, 1), (0, 2), (0, 3)}
+
+
 # --- neighbours ---------------------------------------------------------------------------
 
 
