@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecast.llm.common import fresh, kept, stored, word_count
+from lakecast.llm.common import discard, fresh, kept, stored, word_count
 from lakecast.session import broadcast_if_small
 
 FIELD = "<*>"
@@ -30,7 +30,8 @@ class Tree:
     """``depth`` leading tokens make a leaf. A template recurs if ``documents`` have it. It has
     at least ``fixed`` fixed tokens; with variable fields, at least ``fixed_of_fields``, and that
     ``share`` of its tokens. The last two keep sentences that merely share common words. A token is
-    fixed if it is in ``even`` of the documents that the line's needed fixed tokens are in."""
+    fixed if it is in ``even`` of the documents that the line's needed fixed tokens are in. A line of
+    ``long`` tokens recurs as it is if ``long_documents`` of different texts have it."""
 
     depth: int = 3
     documents: int = 5
@@ -38,6 +39,8 @@ class Tree:
     fixed_of_fields: int = 6
     share: float = 0.75
     even: float = 0.5
+    long: int = 50
+    long_documents: int = 2
 
 
 _BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -134,8 +137,11 @@ def _templates(shared: DataFrame, distinct: DataFrame, tree: Tree) -> DataFrame:
         chosen = stored(chosen, "chosen-lines")
         found = chosen if found is None else found.unionByName(chosen)
         moved = chosen.select("leaf").distinct()
-        rest = rest.join(proposals.select(*line).distinct(), line, "left_semi").join(moved, "leaf", "left_semi")
-        rest = stored(rest.join(chosen, line, "left_anti"), "distinct-lines")
+        left = rest.join(proposals.select(*line).distinct(), line, "left_semi").join(moved, "leaf", "left_semi")
+        left = stored(left.join(chosen, line, "left_anti"), "distinct-lines")
+        discard(proposals)
+        discard(rest)
+        rest = left
         if rest.isEmpty():
             return found
         # What is left of a template may be few lines, which the documents found before complete.
@@ -169,6 +175,18 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
     often = alike.select("raw", *document).distinct().groupBy("raw").count().where(F.col("count") >= tree.documents).select("raw")
     exact = alike.join(often, "raw").select(*document, "line_no", F.xxhash64(F.lit("alike"), "raw").alias("template_id"))
     found = stored(found.unionByName(exact), "templates")
+    discard(shared)
+
+    # A long line recurs from fewer documents on. Copies of a whole document are one here: they are no
+    # different documents, and where they are few, near-duplicate removal takes them.
+    size = F.length("line") >= 2 * tree.long - 1
+    long = lines.where(size & (word_count(F.col("line")) >= tree.long))
+    long = stored(long.select(*document, "line_no", F.xxhash64(_plain(F.col("line"))).alias("raw")), "long-lines")
+    often = long.select("raw", "hash").distinct().groupBy("raw").count().where(F.col("count") >= tree.long_documents).select("raw")
+    exact = long.join(often, "raw").select(*document, "line_no", F.xxhash64(F.lit("alike"), "raw").alias("template_id"))
+    at = [F.col(f"x.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*document, "line_no")]
+    found = found.unionByName(stored(exact.alias("x").join(found.alias("f"), at, "left_anti"), "long-templates"))
+    discard(long)
 
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "line_no")
     firsts = found.groupBy("template_id").agg(F.min(place).alias("at"))

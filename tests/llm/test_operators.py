@@ -352,6 +352,16 @@ def test_lines_with_digits_recur_alike(spark):
     assert {(r.id, r.line_no) for r in got if r.first} == {(0, 1), (0, 2), (0, 3)}
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    short = " ".join(passage.split()[:49])
+    rows = [(1, f"one own line\n{passage}\n{short}"), (2, f"  {passage}\nother own text\n{short}"), (3, f"{passage} 1"), (4, f"{passage} 2")]
+    rows += [(5, f"whole copies {passage}"), (6, f"whole copies {passage}")]
+    out = templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"))
+    changed = {r.doc_id: r.text for r in out.collect() if r.lines_dropped}
+    assert changed == {2: f"other own text\n{short}"}
+
+
 # --- neighbours ---------------------------------------------------------------------------
 
 
