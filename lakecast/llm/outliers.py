@@ -46,13 +46,13 @@ class Rules:
     """``least_words`` and ``most_repeats`` (percent of the words) are the base rules. ``tail``: share of normal vectors
     beyond the limit. ``floors``: standard deviation that each component has at least, in
     units of the transform, so that a statistic that is 0 for most documents does not reject every other
-    value; a line that stands twice is no fault, so repeats have wide ones.
+    value. Each statistic alone can pass the limit; a line that stands twice is no fault, which the transform sees to.
     ``least_rows``: smaller groups are pooled. ``steps``: concentration steps."""
 
     least_words: int = 20
     most_repeats: int = 30
     tail: float = 1e-6
-    floors: tuple[float, ...] = (0.25, 0.25, 1.0, 1.0, 0.25, 0.25, 0.25)
+    floors: tuple[float, ...] = (0.25, 0.25, 0.5, 0.4, 0.25, 0.25, 0.25)
     least_rows: int = 100
     steps: int = 6
 
@@ -100,10 +100,11 @@ def _repeated(words: list[bytes]) -> int:
 
 def vector(stats: tuple[int, ...]) -> list[int]:
     """Logarithms of the mean word length and of percentages. Each ratio has some more words or lines in
-    its denominator, so that short texts do not stand out by chance."""
+    its denominator, so that short texts do not stand out by chance. The first two repeated lines, and as many
+    words as two windows twice, do not count."""
     words, chars, symbols, dup_lines, repeats, lines, capitals, marks, doubled = stats
     shares = (
-        symbols / (chars + 100), dup_lines / (lines + 5), repeats / (words + 50), capitals / (chars + 100), marks / (chars + 100),
+        symbols / (chars + 100), max(0, dup_lines - 2) / (lines + 5), max(0, repeats - 4 * WINDOW) / (words + 50), capitals / (chars + 100), marks / (chars + 100),
         doubled / (words + 50),
     )
     whole = [4 * math.log((chars + 250) / (words + 50)), *(math.log1p(100 * s) for s in shares)]

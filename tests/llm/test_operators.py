@@ -45,6 +45,30 @@ def test_outliers_reject_what_lies_far_off(spark):
     assert sum(i >= 1000 for i in kept_of) > 30
 
 
+def test_repeated_lines_or_words_alone_are_far_off(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(500)]
+
+    def prose(n):
+        return "\n".join(" ".join(rng.choices(vocabulary, k=10)) for _ in range(n))
+
+    menu = [" ".join(rng.choices(vocabulary, k=2)) for _ in range(12)]
+    dull = "\n".join([*rng.choices(menu, k=285), *prose(3).split("\n")])
+    passage = prose(2)
+    again = "\n".join([prose(10), *[f"{passage} {prose(4)}" for _ in range(5)]])
+    rows = [(i, prose(rng.randint(10, 60)), "en", "s") for i in range(200)]
+    rows += [(200, f"{rows[0][1]}\n{rows[0][1][:59]}\n", "en", "s"), (1000, dull, "en", "s"), (1001, again, "en", "s")]
+    found = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert found[200].n_dup_lines == 1 and not found[1000].base_failed and not found[1000].kept
+    # Within the base rule, so only the distance can tell.
+    assert found[1001].base_failed or not found[1001].kept
+    assert all(found[i].kept for i in range(201))
+    limit = outliers.chi2_limit(1 - outliers.Rules().tail, len(outliers.VECTOR))
+    floors = dict(zip(outliers.VECTOR, outliers.Rules().floors, strict=True))
+    most = outliers.vector((1000, 5000, 0, 950, 300, 1000, 0, 0, 0))
+    assert all((most[outliers.VECTOR.index(x)] / outliers.UNIT / floors[x]) ** 2 > limit for x in ("dup_lines", "repeats"))
+
+
 def test_mcd_equals_the_estimate_in_numpy(spark):
     rng = np.random.default_rng(3)
     p = len(outliers.VECTOR)
