@@ -101,7 +101,7 @@ class Lists:
             seen[new] = True
             best = np.concatenate([best, new])
             scores = np.concatenate([scores, self._scores(new, query)])
-            if len(best) > k:
+            if len(best) >= k:
                 top = np.lexsort((self.ids[best], -scores))[:k]
                 best, scores = best[top], scores[top]
             depth = upto

@@ -130,6 +130,17 @@ def test_top_k_equals_all_products(spark):
     assert topk.top_k(sound.limit(0), sound.limit(0)).count() == 0
 
 
+def test_threshold_with_exactly_k_candidates_met():
+    # Sixteen rows lead each list, twelve of them both: exactly 20 are met, the last of them a high one.
+    parts = np.zeros((200, 2), np.int64)
+    parts[:12] = 50
+    parts[12:16], parts[16:20] = (60, 0), (0, 120)
+    parts[20:] = 45
+    block = topk.Lists(np.arange(200), parts)
+    rows, scores = block.search(np.array([1, 1]), -1, 20)
+    assert sorted(scores, reverse=True) == sorted(parts.sum(axis=1), reverse=True)[:20]
+
+
 def test_threshold_stops_before_the_lists_end():
     rng = np.random.default_rng(5)
     parts = rng.integers(-5, 6, (5000, 3))
