@@ -89,7 +89,7 @@ def _proposals(distinct: DataFrame, tree: Tree, least: int) -> DataFrame:
         .where(F.col("have") >= least)
     )
     # Only tokens that can be fixed travel on; the places between them are fields.
-    parts = F.collect_list(F.struct("place", "token", "have")).alias("parts")
+    parts = F.array_sort(F.collect_list(F.struct("place", "token", "have"))).alias("parts")
     lines = tokens.join(counted, ["leaf", "place", "token"]).groupBy("leaf", "code", "documents", "n").agg(parts)
     needed = F.greatest(F.lit(tree.fixed_of_fields), F.ceil(tree.share * F.col("n")).cast("int"))
     lines = lines.withColumn("needed", needed)
@@ -97,11 +97,16 @@ def _proposals(distinct: DataFrame, tree: Tree, least: int) -> DataFrame:
     lines = lines.withColumn("measure", F.get(F.sort_array(F.col("parts.have"), False), F.col("needed") - 1))
 
     def template(cut: Column) -> Column:
-        fixed = F.filter("parts", lambda part: part["have"] >= cut)
-        enough = (F.size(fixed) >= F.col("needed")) | (F.size(fixed) == F.col("n"))
-        at = F.map_from_entries(F.transform(fixed, lambda part: F.struct(part["place"], part["token"])))
-        whole = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda p: F.coalesce(at[p], F.lit(FIELD))), " ")
-        return F.when(enough, whole)
+        n_fixed = F.size(F.filter("parts", lambda part: part["have"] >= cut))
+        enough = (n_fixed >= F.col("needed")) | (n_fixed == F.col("n"))
+
+        def piece(part: Column, i: Column) -> Column:
+            # The fields since the part before, then its token: one pass, however long the line.
+            gap = part["place"] - F.coalesce(F.get("parts", i - 1)["place"], F.lit(-1)) - 1
+            return F.concat(F.repeat(F.lit(f"{FIELD} "), gap), F.when(part["have"] >= cut, part["token"]).otherwise(FIELD))
+
+        tail = F.repeat(F.lit(f" {FIELD}"), F.col("n") - 1 - F.element_at("parts", -1)["place"])
+        return F.when(enough, F.concat(F.array_join(F.transform("parts", piece), " "), tail))
 
     cuts = (tree.even * F.col("measure"), F.col("measure"), F.lit(tree.documents))
     each = F.array_distinct(F.array_compact(F.array(*map(template, cuts))))
