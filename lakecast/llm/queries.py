@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecast.llm import archive, jaccard, languages, mixing, neighbours, outliers, packing, sharding, templates, topk
+from lakecast.llm import archive, jaccard, languages, mixing, negatives, neighbours, outliers, packing, sharding, templates, topk
 from lakecast.llm import sql
-from lakecast.llm.common import kept, table
+from lakecast.llm.blocks import quantised
+from lakecast.llm.common import table
 from lakecast.session import scratch_path
 
 
@@ -27,7 +28,7 @@ def op1_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = kept(topk.quantised(table(spark, sf_dir, "embeddings")))
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
@@ -93,6 +94,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = quantised(table(spark, sf_dir, "embeddings"), 256.0, label=label)
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"), positives=5, negatives=5, low=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_outliers": op1_outliers,
     "op2_topk": op2_topk,
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_jaccard": op9_jaccard,
     "op10_sharding": op10_sharding,
+    "op11_negatives": op11_negatives,
 }
 
-ORACLES: dict[str, str] = {"op2_topk": sql.OP2, "op4_mixing": sql.OP4, "op5_warc": sql.OP5, "op10_sharding": sql.OP10}
+ORACLES: dict[str, str] = {"op2_topk": sql.OP2, "op4_mixing": sql.OP4, "op5_warc": sql.OP5, "op10_sharding": sql.OP10, "op11_negatives": sql.OP11}

@@ -115,3 +115,23 @@ SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size,
        'rows' AS law, shard, CAST(nth - (shard * n + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM bytes_, crc_table
 """
+
+OP11 = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(CAST(a.parts AS DOUBLE[]), CAST(c.parts AS DOUBLE[])) AS BIGINT) AS score
+  FROM sound a JOIN sound c ON a.vec_id <> c.vec_id AND len(a.parts) = len(c.parts) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY rank <= 5
+"""
