@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecast.llm import archive, jaccard, languages, mixing, negatives, neighbours, outliers, packing, sharding, templates, topk
+from lakecast.llm import archive, jaccard, languages, lexical, minhash, mixing, negatives, neighbours, outliers, packing, sharding, templates, topk
 from lakecast.llm import sql
 from lakecast.llm.blocks import quantised
 from lakecast.llm.common import table
@@ -100,6 +100,16 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"), positives=5, negatives=5, low=80)
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("component", "component_id")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return lexical.search(docs, items, lexical.Ranking(k=50))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_outliers": op1_outliers,
     "op2_topk": op2_topk,
@@ -112,6 +122,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard": op9_jaccard,
     "op10_sharding": op10_sharding,
     "op11_negatives": op11_negatives,
+    "op12_minhash": op12_minhash,
+    "op13_lexical": op13_lexical,
 }
 
-ORACLES: dict[str, str] = {"op2_topk": sql.OP2, "op4_mixing": sql.OP4, "op5_warc": sql.OP5, "op10_sharding": sql.OP10, "op11_negatives": sql.OP11}
+ORACLES: dict[str, str] = {
+    "op2_topk": sql.OP2,
+    "op4_mixing": sql.OP4,
+    "op5_warc": sql.OP5,
+    "op10_sharding": sql.OP10,
+    "op11_negatives": sql.OP11,
+    "op12_minhash": sql.OP12,
+    "op13_lexical": sql.OP13,
+}

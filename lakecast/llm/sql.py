@@ -135,3 +135,46 @@ FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
   AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
 QUALIFY rank <= 5
 """
+
+# Equal sets are one node. Links are counted over shared shingles, and reached nodes are spread until none is new.
+OP12 = r"""
+WITH words_ AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS shingles FROM words_),
+nodes AS MATERIALIZED (
+  SELECT shingles, md5(array_to_string(shingles, '\n')) AS digest, min(doc_id) AS node, len(shingles) AS n FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+tokens AS MATERIALIZED (SELECT node, n, unnest(shingles) AS token FROM nodes),
+links AS MATERIALIZED (
+  SELECT a.node AS u, b.node AS v FROM tokens a JOIN tokens b ON a.token = b.token AND a.node < b.node
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  WITH RECURSIVE r(node, seen) AS (
+    SELECT node, node FROM nodes
+    UNION
+    SELECT r.node, l.v FROM r JOIN (SELECT u, v FROM links UNION ALL SELECT v, u FROM links) l ON r.seen = l.u)
+  SELECT node, min(seen) AS component FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(r.component, s.doc_id) AS component_id, s.doc_id = coalesce(r.component, s.doc_id) AS kept
+FROM sets s LEFT JOIN nodes d ON len(s.shingles) > 0 AND md5(array_to_string(s.shingles, '\n')) = d.digest LEFT JOIN reach r ON d.node = r.node
+"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = f"""
+WITH postings AS MATERIALIZED (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL),
+lengths AS MATERIALIZED (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM postings, whole GROUP BY term, docs),
+strata AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM lengths, whole),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN strata USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
