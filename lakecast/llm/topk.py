@@ -1,9 +1,10 @@
 """Exact top-k search by inner product: the threshold algorithm over sorted per-dimension lists.
 
 Candidates are cut into blocks. For each block and dimension there is a list of the
-candidates sorted by that component. A query reads all its lists in step, best component first,
-scores what it meets by random access, and stops once the best score that an unseen candidate
-could still have is below its k-th result. Blocks give k results a query; a ranking merges them.
+candidates sorted by that component. The queries of a block read these lists in step from their ends: a look
+goes down to a depth, scores what it meets by one exact product, and a query stops once the best score that an unseen
+candidate could still have is below its k-th result. Results are carried from candidate block to
+candidate block, so that later ones end the sooner; a ranking merges what the tasks found.
 """
 
 from __future__ import annotations
@@ -15,147 +16,88 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakecast.llm.blocks import CANDIDATES, LIMIT, NONE, QUERIES, Best, Block, packed, products, quantised, walked
 from lakecast.llm.common import kept, stored
 
-CANDIDATES = 8192
-QUERIES = 512
+__all__ = ["Lists", "quantised", "top_k"]
+
 #: Depth of the lists at the first look at the threshold; it doubles from look to look.
 FIRST_DEPTH = 16
 
 
-def quantised(vectors: DataFrame, scale: float = 64.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, parts``: floor(scale * x) of every component as 64-bit numbers.
-
-    Vectors that are null, empty or hold a null or non-finite component are left out, and so
-    are rows without a key. Scores have to fit 64 bits.
-    """
-    x = F.col(vector).cast("array<double>")
-    sound = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return (
-        vectors.select(F.col(key).cast("long").alias("vec_id"), x.alias("x"))
-        .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0))
-        .select("vec_id", "x", sound.alias("sound"))
-        .where("sound")
-        .select("vec_id", F.transform("x", lambda v: F.floor(v * scale)).alias("parts"))
-    )
-
-
-def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """``dims, block, ids, parts``: rows of a block, packed as little-endian 64-bit numbers.
-
-    Blocks are even parts of the keys' hashes, so their number grows with the table and their size does not.
-    """
-    n = vectors.count()
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-n // rows))))
-    placed = vectors.select(F.size("parts").alias("dims"), block.alias("block"), "vec_id", "parts")
-
-    def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec_id")
-        flat = group.column("parts").combine_chunks().flatten()
-        return pa.table(
-            {
-                "dims": pa.array([key[0].as_py()], pa.int32()),
-                "block": pa.array([key[1].as_py()], pa.int64()),
-                "ids": pa.array([group.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                "parts": pa.array([flat.to_numpy().astype("<i8").tobytes()], pa.binary()),
-            }
-        )
-
-    return placed.groupBy("dims", "block").applyInArrow(pack, "dims int, block long, ids binary, parts binary")
-
-
 class Lists:
     """A block's candidates with their sorted lists."""
 
     def __init__(self, ids: np.ndarray, parts: np.ndarray):
         self.ids, self.parts = ids, parts
-        self._most = int(np.abs(parts).max(initial=0))
         # Ascending by component in each dimension; read from either end.
         self._order = np.argsort(parts, axis=0, kind="stable").T.copy()
         self._sorted = np.take_along_axis(parts, self._order.T, axis=0).T.copy()
-        self._floats = parts.astype(np.float64)
 
-    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        # Exact in doubles as long as every partial sum is.
-        if self._most * int(np.abs(query).max()) * len(query) < 1 << 53:
-            return (self._floats[rows] @ query.astype(np.float64)).astype(np.int64)
-        return self.parts[rows] @ query
+    def _scores(self, rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        return products(queries, self.parts[rows])
+
+    def _bounds(self, queries: np.ndarray, depth: int) -> np.ndarray:
+        """The best score that a candidate beyond ``depth`` in every list could have, for each query."""
+        n, last = len(self.ids), max(depth, 1)
+        high, low = self._sorted[:, n - last], self._sorted[:, last - 1]
+        rising, falling = np.minimum(queries, 0), np.maximum(queries, 0)
+        if int(np.abs(queries).max(initial=0)) * int(np.abs(self._sorted[:, [0, -1]]).max(initial=0)) * queries.shape[1] <= LIMIT:
+            return falling @ high + rising @ low
+        exact = falling.astype(object) @ high.astype(object) + rising.astype(object) @ low.astype(object)
+        return np.array([min(max(b, -LIMIT), LIMIT) for b in exact], np.int64)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best candidates besides ``own``, ties to smaller ids."""
-        n = len(self.ids)
-        used = np.flatnonzero(query)
-        falling = query[used] > 0
-        seen = np.zeros(n, bool)
-        seen[self.ids == own] = True
-        best, scores, depth = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        """Keys and scores of one query's ``k`` best candidates besides ``own``."""
+        best = Best(1, k)
+        self.search_all(query[None, :], np.array([own]), best)
+        return best.found()[1:]
+
+    def search_all(self, queries: np.ndarray, own: np.ndarray, best: Best) -> None:
+        """Adds what this block holds of each query's best candidates besides those of its ``own`` key."""
+        n, depth = len(self.ids), 0
+        unseen, active = np.ones(n, bool), np.arange(len(queries))
         while True:
-            upto = min(n, max(FIRST_DEPTH, 2 * depth)) if len(used) else n
+            active = active[(best.last[active] == NONE) | (best.last[active] <= self._bounds(queries[active], depth))]
+            if depth == n or not len(active):
+                return
+            upto = min(n, max(FIRST_DEPTH, 2 * depth))
             met = np.zeros(n, bool)
-            if upto == n:
-                met[:] = True
+            if 2 * upto >= n:
+                upto, met[:] = n, True
             else:
-                met[self._order[used[falling], n - upto : n - depth].ravel()] = True
-                met[self._order[used[~falling], depth:upto].ravel()] = True
-            new = np.flatnonzero(met & ~seen)
-            seen[new] = True
-            best = np.concatenate([best, new])
-            scores = np.concatenate([scores, self._scores(new, query)])
-            if len(best) >= k:
-                top = np.lexsort((self.ids[best], -scores))[:k]
-                best, scores = best[top], scores[top]
+                falling, rising = (queries[active] > 0).any(axis=0), (queries[active] < 0).any(axis=0)
+                met[self._order[falling, n - upto : n - depth]] = True
+                met[self._order[rising, depth:upto]] = True
+            new = np.flatnonzero(met & unseen)
+            unseen[new] = False
+            scores = self._scores(new, queries[active])
+            scores[own[active][:, None] == self.ids[new]] = NONE
+            best.add(active, self.ids[new], scores)
             depth = upto
-            if depth == n:
-                return best, scores
-            # What is unseen lies beyond the depth in every list, so no score of it exceeds the bound.
-            edge = np.where(falling, self._sorted[used, n - depth], self._sorted[used, depth - 1])
-            if len(best) == k and scores[-1] > int(edge @ query[used]):
-                return best, scores
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int = CANDIDATES, per_block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k highest inner products, ties to smaller ids.
 
     Both sides come from ``quantised``. A query is compared with vectors of its own length and never with rows of its own
-    key. A query block meets every candidate block once: the rows that are replicated are packed
-    blocks of queries, and neither side is broadcast. Rows that repeat a key are candidates each;
-    repeated queries are asked once. Fewer than k candidates give fewer rows, empty tables none.
+    key. The work is queries times candidates at worst, in blocks; neither side is broadcast. Rows that
+    repeat a key are candidates each; of queries that repeat a key, that with the smallest vector is asked. Fewer than k
+    candidates give fewer rows, empty tables none. Scores beyond 2^62 count as 2^62.
     """
-    lists = _blocks(vectors, candidates)
-    asked = kept(_blocks(queries.dropDuplicates(["vec_id"]), per_block)).withColumnRenamed("ids", "query_ids")
-    lists = stored(lists, "candidate-blocks")
-    places = kept(lists.select("dims", "block").distinct())
-    pairs = asked.select("dims", "query_ids", F.col("parts").alias("query_parts")).join(places, "dims")
-    # A pair is little to read and much to compute, so each is a task.
-    spread = max(1, pairs.count())
-    pairs = (
-        pairs.join(lists, ["dims", "block"])
-        .select("dims", "block", "query_ids", "query_parts", "ids", "parts")
-        .repartition(spread, "block", "query_ids")
-    )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, block = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dims, at, asked_ids, asked_parts = (batch.column(c)[i].as_py() for c in range(4))
-                if known != (dims, at):
-                    ids, parts = (np.frombuffer(batch.column(c)[i].as_buffer(), "<i8") for c in (4, 5))
-                    known, block = (dims, at), Lists(ids, parts.reshape(-1, dims))
-                own = np.frombuffer(asked_ids, "<i8")
-                each = np.frombuffer(asked_parts, "<i8").reshape(-1, dims)
-                found = [block.search(q, o, k) for q, o in zip(each, own, strict=True)]
-                counts = [len(rows) for rows, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(own, counts)),
-                        pa.array(block.ids[np.concatenate([rows for rows, _ in found])]),
-                        pa.array(np.concatenate([scores for _, scores in found])),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
-
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
+    none = F.array().cast("array<bigint>").alias("extra")
+    once = queries.groupBy("vec_id").agg(F.min("parts").alias("parts"))
+    asked = kept(packed(once.select("vec_id", "parts", none), per_block))
+    lists = stored(packed(vectors.select("vec_id", "parts", none), candidates), "candidate-blocks")
+
+    def search(query: Block, blocks: Iterator[Block]) -> Iterator[pa.RecordBatch]:
+        best = Best(len(query.ids), k)
+        for block in blocks:
+            Lists(block.ids, block.parts).search_all(query.parts, query.ids, best)
+        at, ids, scores = best.found()
+        yield pa.RecordBatch.from_arrays([pa.array(query.ids[at]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
+
+    found = walked(asked, lists, search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
