@@ -19,7 +19,9 @@ from lakecast.operators.projections import clean_relevant, select_required, temp
 from lakecast.plans.features import encode_keys, group_daily, group_hourly, model_table
 from lakecast.plans.forecasting import backtest, predict_next, recursive_forecast
 from lakecast.plans.landing import backfill_missing, resume_month
-from lakecast.plans.loading import append_curated, load_validated, normalise
+from lakecast.plans.curating import append_months_by_key
+from lakecast.plans.loading import load_validated, normalise
+from lakecast.plans.staging import with_file
 from lakecast.plans.modeling import (
     boosted_trees,
     cast_time,
@@ -32,7 +34,6 @@ from lakecast.plans.modeling import (
 from lakecast.series import DAILY, HOURLY, SeriesSpec
 from lakecast.session import build_session
 from lakecast.sources.files import (
-    common_columns,
     nanos_as_long,
     parse_time_column,
     reference_values,
@@ -64,30 +65,39 @@ def resume(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> None:
     stations = reference_values(spark, args.stations, ["station_complex_id", "station_complex"])
-    columns = common_columns(spark, args.lake)
 
     def load(raw: DataFrame) -> None:
         report = load_validated(
             normalise(raw, TIME, MEASURES), args.table, transit.rules(stations), TIME, args.good, args.bad,
-            columns=columns, on_fail=args.on_fail,
+            on_fail=args.on_fail,
         )
         log.info("batch %s", report.status)
         if report.summary is not None and args.summary:
-            report.summary.write.mode("overwrite").parquet(args.summary)
+            # With a state there may be several batches in a run, each with its own result.
+            report.summary.write.mode("append" if args.state else "overwrite").parquet(args.summary)
 
     with nanos_as_long(spark):
-        kind = scan_parquet(spark, args.lake).schema[TIME].dataType.simpleString()
+        kind = spark.read.parquet(args.lake).schema[TIME].dataType.simpleString()
         schema = transit.RAW_SCHEMA if kind == "bigint" else transit.LAKE_SCHEMA
         if args.state:
-            run_incremental_stream(spark, f"{args.lake}/year=*/month=*", schema, load, args.state)
+            run_incremental_stream(spark, f"{args.lake}/year=*/month=*", schema, load, args.state, name_files=True)
         else:
-            load(scan_parquet(spark, args.lake, schema))
+            load(with_file(scan_parquet(spark, args.lake, schema)))
 
 
 def curate(spark: SparkSession, args: argparse.Namespace) -> None:
-    facts = select_required(scan_table(spark, args.table), transit.REQUIRED_COLUMNS)
-    written = append_curated(facts, args.curated, args.increment, transit.GOLD_KEYS)
-    log.info("%d new rows", written)
+    """Append to the curated table, which is laid out by month; with a state, from the files that are new since the last run."""
+
+    def append(rows: DataFrame) -> None:
+        facts = select_required(rows, transit.REQUIRED_COLUMNS)
+        written = append_months_by_key(facts, args.curated, args.increment, transit.GOLD_KEYS, TIME)
+        log.info("%d new rows", written)
+
+    validated = scan_table(spark, args.table)
+    if args.state:
+        run_incremental_stream(spark, f"{args.table}/year=*", validated.drop("year").schema, append, args.state)
+    else:
+        append(validated)
 
 
 def features(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -183,7 +193,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--on-fail", choices=("quarantine_batch", "split"), default="quarantine_batch")
     sub.add_argument("--state", help="remembers the files loaded, so that a run takes only new ones")
     sub.add_argument("--summary", help="where the suite's full result is written")
-    job("curate", curate, "table", "curated", "increment")
+    sub = job("curate", curate, "table", "curated", "increment")
+    sub.add_argument("--state", help="remembers the validated files taken, so that a run reads only new ones")
     sub = job("features", features, "curated", "out")
     sub.add_argument("--split-rows", type=int, help="cut series into segments of that many rows")
     for name, run in (("train", train), ("predict", predict), ("forecast", forecast), ("backtest", backtest_job)):

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from lakecast.operators.joins import member_flag
 
 NULL_POLICIES = ("bad", "drop")
+_FIXED = (
+    "rule int, kind string, `column` string, success boolean, unexpected_count bigint, unexpected_percent double"
+)
 
 
 @dataclass(frozen=True, eq=False)
@@ -75,6 +78,20 @@ def _flag(i: int) -> str:
     return f"_member_{i}"
 
 
+def flagged(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` with a membership column for each rule on a table; see ``suite_measures``."""
+    return _with_flags(df, rules)
+
+
+def suite_measures(df: DataFrame, rules: Sequence[Rule]) -> dict[str, Column]:
+    """The value rules' counts as named aggregates over ``flagged`` rows, to be observed while these are written."""
+    measures = {}
+    for i, rule in _value_rules(df, rules):
+        ok = rule.predicate(_flag(i))
+        measures |= {f"ok_{i}": F.count_if(ok), f"bad_{i}": F.count_if(~ok), f"present_{i}": F.count(rule.column)}
+    return measures
+
+
 def _with_flags(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, rule in _value_rules(df, rules):
         if rule.table is not None:
@@ -186,11 +203,7 @@ def _summary(
     ]
     if fixed:
         parts.append(
-            df.sparkSession.createDataFrame(
-                fixed,
-                "rule int, kind string, `column` string, success boolean, "
-                "unexpected_count bigint, unexpected_percent double",
-            )
+            df.sparkSession.createDataFrame(fixed, _FIXED)
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -243,6 +256,32 @@ def judge(
     return _with_samples(summary, samples), not failed
 
 
+def judge_measured(
+    rows: DataFrame,
+    rules: Sequence[Rule],
+    measures: dict,
+    columns: Sequence[str] | None = None,
+    nulls_pass: bool = True,
+    sample: int = 20,
+) -> tuple[DataFrame, bool]:
+    """``judge`` for rows whose counts (``rows`` and ``suite_measures``) were observed: they are read again only for sample values of failed rules."""
+    numbered, total = dict(_value_rules(rows, rules)), measures.get("rows") or 0
+    present = set(columns if columns is not None else rows.columns)
+    lines, failed = [], []
+    for i, rule in enumerate(rules):
+        if i in numbered:
+            ok, wrong, there = (measures.get(f"{name}_{i}") or 0 for name in ("ok", "bad", "present"))
+            bad, base = (wrong, there) if nulls_pass else (total - ok, total)
+            lines.append((i, rule.kind, rule.column, bad == 0, bad, bad * 100.0 / base if base else 0.0))
+            failed += [(i, rule)] if bad else []
+        else:
+            found = rule.column in present and rule.column in rows.columns
+            lines.append((i, rule.kind, rule.column, found, 0, 0.0))
+    summary = rows.sparkSession.createDataFrame(lines, _FIXED)
+    samples = _samples(_with_flags(rows, rules), failed, sample) if sample and failed else None
+    return _with_samples(summary, samples), all(line[3] for line in lines)
+
+
 def all_success(summary: DataFrame, kind: str | None = None) -> bool:
     """Do all rules (of one kind) pass? The summary has one row per rule."""
     rows = summary if kind is None else summary.where(F.col("kind") == kind)

@@ -17,11 +17,14 @@ from lakecast.operators.projections import (
     normalise_time,
     since_high_water,
 )
-from lakecast.operators.quality import Rule, isolate, judge, schema_gate
+from lakecast.operators.quality import Rule, isolate, judge_measured, missing_columns, schema_gate
+from lakecast.plans.staging import FILE, Staged, stage, with_file
 from lakecast.session import cut_lineage
-from lakecast.sources.files import common_columns, nanos_as_long, scan_parquet
+from lakecast.sources.files import nanos_as_long, scan_parquet
+from lakecast.sources.footers import columns_missing_in
 from lakecast.sources.tables import (
     latest_in_partitions,
+    publish_folder,
     scan_table,
     table_exists,
     write_partitioned,
@@ -47,16 +50,18 @@ def merge_insert_only(
     columns: Sequence[str] | None = None,
     dedupe: bool = False,
     fmt: str = "parquet",
+    extent: tuple[str | None, list] | None = None,
     **options: str,
 ) -> None:
     """Append the batch rows that equal no stored row on all columns; a re-run adds nothing.
 
     The stored side is cut to the batch's partitions and to times from the batch's first
-    on, so the cost follows the batch and not the table.
+    on, so the cost follows the batch and not the table. ``extent`` gives that first time, as text, and
+    the partitions where they are known; otherwise the batch is read for them.
     """
     spark = batch.sparkSession
     wanted = list(columns or [c for c in batch.columns if c != partition])
-    first, parts = batch.agg(
+    first, parts = extent or batch.agg(
         F.min(time).cast("string"), F.collect_set(partition)
     ).first()
     target = scan_table(spark, path, fmt, **options)
@@ -95,13 +100,6 @@ def quarantine(
     return good
 
 
-def batch_name(df: DataFrame) -> str:
-    """A name that the same rows always get, in whatever order they come."""
-    row = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
-    total, rows = df.agg(F.sum(row.cast("decimal(38,0)")), F.count(F.lit(1))).first()
-    return f"{int(total or 0) % (1 << 64):016x}-{rows}"
-
-
 def load_validated(
     batch: DataFrame,
     path: str,
@@ -119,34 +117,60 @@ def load_validated(
 ) -> LoadReport:
     """Validate a batch and bring it into the table at ``path``.
 
-    No table yet: full load. Otherwise all rows of the batch are merged insert-only, late
-    ones and those without a time like any others; choose the batch by files. If a rule fails, the
+    The batch is scanned once: it is written to a staging folder, and its rows, rule counts and extent are observed
+    meanwhile. No table yet: full load, for which the folder is renamed. Otherwise all rows of the batch are
+    merged insert-only, late ones and those without a time like any others; choose the batch by files. If a rule fails, the
     whole batch goes to quarantine and the table stays as it is; with ``on_fail="split"``
     the good rows are still loaded. ``since_latest`` looks only at rows from the table's latest
-    time on, for input that is known to come in order.
+    time on, for input that is known to come in order. Where the batch has its files' names (``staging.with_file``), a column
+    that one of them lacks fails the existence rules, and nothing is published.
     """
     if on_fail not in ON_FAIL:
         raise ValueError(f"on_fail must be one of {ON_FAIL}")
     spark = batch.sparkSession
-    schema_gate(columns if columns is not None else batch.columns, rules)
+    columns = list(columns if columns is not None else batch.columns)
+    schema_gate(columns, rules)
     exists = table_exists(spark, path, fmt)
     rows = batch
     if exists and since_latest:
         high_water = latest_in_partitions(spark, path, time, partition, fmt)
         rows = since_high_water(batch, time, high_water)
-    if exists and rows.isEmpty():
-        return LoadReport("up_to_date")
-    summary, passed = judge(rows, rules, columns)
-    accepted = rows if passed else quarantine(
-        rows, rules, rows.schema, good_path, bad_path, null_policy, batch_name(rows)
-    )
-    if not passed and on_fail == "quarantine_batch":
-        return LoadReport("quarantined", summary)
-    ready = derive_year(cast_to_schema(accepted, rows.schema), time, partition)
+    staged = stage(derive_year(rows, time, partition), rules, path, time, partition, fmt)
+    try:
+        if exists and not staged.count:
+            return LoadReport("up_to_date")
+        gaps = columns_missing_in(spark, staged.files, [c for c in columns if c not in (FILE, partition)])
+        if absent := missing_columns([c for c in columns if c not in gaps], rules):
+            raise ValueError(f"required columns are missing: {', '.join(f'{c} (in {gaps[c]} files)' for c in absent)}")
+        return _judged(staged, rows, path, rules, time, good_path, bad_path, columns, on_fail, null_policy, partition, dedupe, fmt, exists)
+    finally:
+        staged.discard()
+
+
+def _judged(
+    staged: Staged, rows: DataFrame, path: str, rules: Sequence[Rule], time: str, good_path: str, bad_path: str, columns: Sequence[str],
+    on_fail: str, null_policy: str, partition: str, dedupe: bool, fmt: str, exists: bool,
+) -> LoadReport:
+    """Publishes, merges or quarantines a staged batch."""
+    summary, passed = judge_measured(staged.rows, rules, staged.measures, columns)
+    accepted = staged.rows
+    if not passed:
+        # A summary that samples the staged rows has to outlive them.
+        summary = cut_lineage(summary)
+        own = [f for f in rows.schema.fields if f.name != FILE]
+        good = quarantine(
+            staged.rows.select(*(f"`{f.name}`" for f in own)), rules, T.StructType(own), good_path, bad_path, null_policy, staged.name
+        )
+        if on_fail == "quarantine_batch":
+            return LoadReport("quarantined", summary)
+        accepted = derive_year(good, time, partition)
     if exists:
-        merge_insert_only(ready, path, time, partition, dedupe=dedupe, fmt=fmt)
+        extent = (staged.measures.get("first"), staged.measures.get("parts") or [])
+        merge_insert_only(accepted, path, time, partition, dedupe=dedupe, fmt=fmt, extent=extent)
+    elif passed and not dedupe:
+        publish_folder(rows.sparkSession, staged.path, path)
     else:
-        write_partitioned(ready.dropDuplicates() if dedupe else ready, path, partition, fmt=fmt)
+        write_partitioned(accepted.dropDuplicates() if dedupe else accepted, path, partition, fmt=fmt)
     if not passed:
         return LoadReport("split", summary)
     return LoadReport("merged" if exists else "loaded", summary)
@@ -166,16 +190,12 @@ def load_silver(
 ) -> LoadReport:
     """Scan landed Parquet under ``schema``, normalise, validate, load.
 
-    The columns for the existence rules are those that every file has, before the schema
-    fills absent ones with nulls.
+    The existence rules ask for columns that every file has, before the schema
+    fills absent ones with nulls; the files' footers tell.
     """
-    columns = common_columns(spark, source)
     with nanos_as_long(spark):
-        raw = scan_parquet(spark, source, schema)
-        return load_validated(
-            normalise(raw, time, measures), path, rules, time, good_path, bad_path,
-            columns=columns, **options,
-        )
+        raw = with_file(scan_parquet(spark, source, schema))
+        return load_validated(normalise(raw, time, measures), path, rules, time, good_path, bad_path, **options)
 
 
 def append_curated(

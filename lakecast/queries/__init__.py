@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lakecast.queries import features, fitted, forecasts, loads, lookups, models, quality, surfaces, tables
+from lakecast.queries import features, fitted, forecasts, increments, loads, lookups, models, quality, surfaces, tables
 from lakecast.queries.common import Query
 
-_MODULES = (features, lookups, tables, quality, loads, forecasts, models, fitted, surfaces)
+_MODULES = (features, lookups, tables, quality, loads, increments, forecasts, models, fitted, surfaces)
 
 
 def registry() -> dict[str, Query]:

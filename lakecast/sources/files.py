@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecast.functions.temporal import day_bounds, month_label
+from lakecast.sources.footers import columns_missing_in
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -45,10 +45,11 @@ def json_to_parquet(df: DataFrame, time: str, path: str, mode: str = "overwrite"
 def scan_parquet(
     spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Directory or glob scan; columns a file lacks become null under a given ``schema``."""
-    reader = spark.read.option("mergeSchema", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
+    """Directory or glob scan; columns a file lacks become null.
+
+    Under a given ``schema`` no footer is read ahead; without one the files' schemas are merged.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
@@ -64,24 +65,17 @@ def nanos_as_long(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
-def file_columns(spark: SparkSession, path: str) -> list[str]:
-    """Columns the files really have, before any schema is laid over them."""
-    with nanos_as_long(spark):
-        return scan_parquet(spark, path).columns
-
-
 def common_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
     """Columns that every file below ``path`` has, and partition columns.
 
-    Each file's schema is read from its own footer, several at a time; pass the files of a
+    Tasks read the footers, all in one job; pass the files of a
     batch. A column that one of them lacks would read as null there.
     """
-    merged = file_columns(spark, path)
-    with nanos_as_long(spark), ThreadPool(8) as pool:
-        files = spark.read.format(fmt).load(path).inputFiles()
-        each = pool.map(lambda name: set(spark.read.format(fmt).load(name).columns), files)
-    anywhere, everywhere = set().union(*each), set.intersection(*each) if each else set()
-    return [c for c in merged if c in everywhere or c not in anywhere]
+    with nanos_as_long(spark):
+        merged = scan_parquet(spark, path) if fmt == "parquet" else spark.read.format(fmt).load(path)
+    files = merged.inputFiles()
+    gaps = columns_missing_in(spark, files, merged.columns)
+    return [c for c in merged.columns if gaps.get(c, len(files)) == len(files)]
 
 
 def scan_code_csv(

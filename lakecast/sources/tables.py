@@ -31,6 +31,21 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return False
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _path_in(spark, path)
+    fs.delete(target, True)
+
+
+def publish_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a written folder the table at ``path``, which holds no table yet, by one rename."""
+    target, fs = _path_in(spark, path)
+    # What an earlier attempt left there without data files would turn the rename into a move below it.
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_path_in(spark, staged)[0], target):
+        raise OSError(f"{staged} could not be renamed to {path}")
+
+
 def scan_table(
     spark: SparkSession, path: str, fmt: str = "parquet", **options: str
 ) -> DataFrame:

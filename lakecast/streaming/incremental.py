@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lakecast.plans.staging import with_file
+
 
 def run_incremental_stream(
     spark: SparkSession,
@@ -16,12 +18,14 @@ def run_incremental_stream(
     checkpoint: str,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    name_files: bool = False,
 ) -> int:
     """Feed new files below ``source`` to ``load``, then stop. Returns the number of batches.
 
     The stream's own checkpoint remembers the files done. ``load`` should be idempotent,
     as the insert-only merge and the keyed append are: a batch that was interrupted is
-    given to it again. Late rows need no watermark, they are merged like any others.
+    given to it again. Late rows need no watermark, they are merged like any others. With
+    ``name_files`` a batch has its files' names (``staging.FILE``), so that a load can look at the new files alone.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
@@ -32,8 +36,9 @@ def run_incremental_stream(
         load(batch)
         done.append(batch_id)
 
+    arriving = reader.load(source)
     query = (
-        reader.load(source)
+        (with_file(arriving) if name_files else arriving)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -66,17 +66,17 @@ BOROUGHS = ("Brooklyn", "Manhattan", "Bronx", "Queens", "Staten Island")
 PAYMENTS = ("metrocard", "omny")
 FARE_CLASSES = (
     "Metrocard - Fair Fare",
-    "Metrocard - Full Fare",
-    "Metrocard - Other",
+    "OMNY - Seniors & Disability",
     "Metrocard - Seniors & Disability",
-    "Metrocard - Students",
-    "Metrocard - Unlimited 30-Day",
-    "Metrocard - Unlimited 7-Day",
-    "OMNY - Fair Fare",
-    "OMNY - Full Fare",
+    "Metrocard - Full Fare",
     "OMNY - Other",
-    "OMNY - Seniors & Disability",
+    "OMNY - Full Fare",
+    "Metrocard - Unlimited 7-Day",
+    "Metrocard - Unlimited 30-Day",
+    "Metrocard - Students",
+    "Metrocard - Other",
     "OMNY - Students",
+    "OMNY - Fair Fare",
 )
 RANGES = {
     "ridership": (1.0, 16217.0),
