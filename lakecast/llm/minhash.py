@@ -192,29 +192,40 @@ def _with_hubs(members: DataFrame) -> DataFrame:
 
 
 def _block_links(members: DataFrame, docs: DataFrame, nodes: DataFrame, rule: MinHash, key: str, text: str) -> DataFrame:
-    """Links ``a, b`` in large buckets, enough to hold together all that are linked; blocks meet within their bucket."""
+    """Links ``a, b`` in large buckets, enough to hold together all that are linked; blocks meet within their bucket.
+
+    Nodes of a bucket's most frequent root hang together already: they have blocks of their own, which only meet the blocks of other nodes.
+    """
     wanted = kept(nodes.select("node", "id", "hash").join(members.select("node").distinct(), "node"))
     sets = stored(_whole_sets(docs, wanted, Join(words=rule.words), key, text), "near-sets")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / rule.block)).cast("long")
-    placed = members.select("key", "node", part.alias("part")).join(sets, "node").select("key", "part", "node", "tokens")
+    most = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("of_root")).groupBy("key").agg(F.max(F.struct("of_root", "root")).alias("most"))
+    ours = F.col("root") == F.col("most.root")
+    rows = F.when(ours, F.col("most.of_root")).otherwise(F.col("m") - F.col("most.of_root"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(rows / rule.block)).cast("long")
+    # Numbers below zero are blocks of the most frequent root.
+    part = F.when(ours, -1 - part).otherwise(part)
+    placed = members.join(most, "key").select("key", "node", "root", part.alias("part")).join(sets, "node").select("key", "part", "node", "root", "tokens")
 
     def pack(group_key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        first = dict(zip(group.column("node").to_pylist(), group.column("tokens"), strict=True))
-        tokens = [t.values.to_numpy() for t in first.values()]
+        nodes_, roots = (group.column(c).to_pylist() for c in ("node", "root"))
+        first = {n: (r, t.values.to_numpy()) for n, r, t in zip(nodes_, roots, group.column("tokens"), strict=True)}
+        tokens = [t for _, t in first.values()]
         return pa.table(
             {
                 "key": pa.array([group_key[0].as_py()], pa.int64()),
                 "part": pa.array([group_key[1].as_py()], pa.int64()),
                 "nodes": pa.array([list(first)], pa.list_(pa.int64())),
+                "roots": pa.array([[r for r, _ in first.values()]], pa.list_(pa.int64())),
                 "lengths": pa.array([[len(t) for t in tokens]], pa.list_(pa.int64())),
                 "tokens": pa.array([np.concatenate(tokens).astype("<i8").tobytes()], pa.binary()),
             }
         )
 
-    fields = ("part", "nodes", "lengths", "tokens")
-    blocks = stored(placed.groupBy("key", "part").applyInArrow(pack, "key long, part long, nodes array<long>, lengths array<long>, tokens binary"), "near-blocks")
+    fields = ("part", "nodes", "roots", "lengths", "tokens")
+    kinds = "key long, part long, nodes array<long>, roots array<long>, lengths array<long>, tokens binary"
+    blocks = stored(placed.groupBy("key", "part").applyInArrow(pack, kinds), "near-blocks")
     one, two = (blocks.select("key", *(F.col(c).alias(f"{c}{k}") for c in fields)) for k in (1, 2))
-    units = one.select("key", "part1").join(two.select("key", "part2"), "key").where("part1 <= part2")
+    units = one.select("key", "part1").join(two.select("key", "part2"), "key").where("part1 >= 0 AND part2 <= part1")
     units = units.join(one, ["key", "part1"]).join(two, ["key", "part2"])
     units = units.select(*(f"{c}{k}" for k in (1, 2) for c in fields))
 
@@ -223,8 +234,9 @@ def _block_links(members: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Mi
             for row in batch.to_pylist():
                 sides = [np.split(np.frombuffer(row[f"tokens{k}"], "<i8"), np.cumsum(row[f"lengths{k}"])[:-1]) for k in (1, 2)]
                 within = row["part1"] == row["part2"]
-                names = row["nodes1"] + ([] if within else row["nodes2"])
+                names, roots = (row[f"{c}1"] + ([] if within else row[f"{c}2"]) for c in ("nodes", "roots"))
                 found = holding_links(sides[0], None if within else sides[1], rule.percent)
+                found = [(i, j) for i, j in found if roots[i] != roots[j]]
                 yield pa.RecordBatch.from_arrays([pa.array([names[x[i]] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     links = kept(units.mapInArrow(compare, "a long, b long"))
