@@ -115,13 +115,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """The latent space and the labelled vectors, from at most ``per_label`` rows of each label 0 and 1.
 
-    The rows with the smallest seeded hashes of their keys are taken; each stands for
-    its share of all rows of its label, so that votes are not tilted. Only that bounded sample reaches the driver, as term vectors.
+    The keys with the smallest seeded hashes are taken; together they stand for
+    all rows of their label, so that votes are not tilted. Only that bounded sample reaches the driver, as term vectors: one
+    for each key and label, however often they repeat. Of texts that repeat a key, the smallest counts.
     Labels besides 0 and 1, and labels of documents that are missing or null, are left out.
     """
     known = labels.select(F.col(key).alias("key_"), F.col(label).cast("int").alias("label_")).where("key_ IS NOT NULL AND label_ IN (0, 1)")
     totals = dict(known.groupBy("label_").count().collect())
-    drawn = known.withColumn("draw_", seeded(settings.seed, F.col("key_")))
+    drawn = known.distinct().withColumn("draw_", seeded(settings.seed, F.col("key_")))
     sample = None
     for value in sorted(totals):
         part = drawn.where(F.col("label_") == value).orderBy("draw_", "key_").limit(settings.per_label)
@@ -158,8 +159,9 @@ def _term_vectors(docs: DataFrame, sample: DataFrame, settings: Settings, key: s
             )
 
     texts = docs.select(F.col(key).alias("key_"), F.col(text).cast("string").alias("text_")).where("text_ IS NOT NULL")
-    joined = texts.join(F.broadcast(sample), "key_").select("draw_", "label_", "text_")
-    table = joined.mapInArrow(vectors, "draw long, label int, classes binary, counts binary, shapes binary")
+    joined = texts.join(F.broadcast(sample), "key_")
+    single = joined.groupBy("key_", "draw_", "label_").agg(F.min("text_").alias("text_")).select("draw_", "label_", "text_")
+    table = single.mapInArrow(vectors, "draw long, label int, classes binary, counts binary, shapes binary")
     return [
         (r.draw, r.label, np.frombuffer(r.classes, "<i4"), np.frombuffer(r.counts, "<f8"), np.frombuffer(r.shapes, "<f8"))
         for r in table.collect()

@@ -429,6 +429,16 @@ def test_blocked_products_equal_single_ones(spark):
     assert np.allclose(together, [neighbours.scores([t], model)[0] for t in texts], atol=1e-4)
 
 
+def test_repeated_keys_do_not_widen_the_sample(spark):
+    texts = [(1, f"good words number {i}", ) for i in range(5000)] + [(i, f"bad stuff {i}") for i in range(2, 40)]
+    labels = [(1, 1)] * 5000 + [(i, 0) for i in range(2, 40)] + [(2, 1), (2, 0)]
+    docs, marks = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = neighbours.fit(docs, marks, neighbours.Settings(per_label=10))
+    assert len(model.vectors) <= 20 and sorted(set(model.labels)) == [0.0, 1.0]
+    # Votes still stand for all rows of their label.
+    assert model.weights[model.labels == 1].sum() == pytest.approx(5001 / 5040)
+
+
 # --- Jaccard join -------------------------------------------------------------------------
 
 
