@@ -155,3 +155,24 @@ def add_serving_means(
 ) -> DataFrame:
     """Serving averages: the frame ends at the current row, as seen from the next step."""
     return _means(df, spec, split_rows, including_current=True)
+
+
+def add_span_means(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Serving averages by the calendar: over the last k days or hours up to the current row's, however many rows they hold.
+
+    On a series with gaps, rows that lie further back do not count, where a frame of k rows would reach them.
+    Whole measures are summed as whole numbers, so their averages are exact.
+    """
+    if spec.unit == "day":
+        position, unit = F.unix_date(F.col(spec.time).cast("date")).cast("bigint"), 1
+    else:
+        position, unit = F.unix_seconds(F.col(spec.time).cast("timestamp")), 3600
+    series = Window.partitionBy(*spec.keys).orderBy(position)
+    means = []
+    for suffix, k in spec.windows:
+        frame = series.rangeBetween(1 - k * unit, 0)
+        for c in spec.averaged:
+            whole = isinstance(df.schema[c].dataType, T.IntegralType)
+            mean = F.try_divide(F.sum(F.col(c).cast("bigint")).over(frame), F.count(c).over(frame)) if whole else F.avg(c).over(frame)
+            means.append(mean.alias(f"{c}_{suffix}"))
+    return df.select("*", *means)

@@ -58,6 +58,18 @@ def encode_series(
     return encode(series, code_table, columns, keep_labels=False), code_table
 
 
+def store_series(series: DataFrame, name: str, spec: SeriesSpec, buckets: int) -> DataFrame:
+    """Keep a series as catalog table ``name``, bucketed by its keys and sorted by time, and read it back.
+
+    Lags, averages and whatever else runs over series start from the buckets, each with one file: no feature run shuffles
+    again. Take about as many buckets as a run should have tasks.
+    """
+    order = [*spec.keys, spec.time]
+    dealt = series.repartition(buckets, *spec.keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *spec.keys).sortBy(*order).saveAsTable(name)
+    return series.sparkSession.table(name)
+
+
 def add_calendar(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return df.withColumns(calendar_columns(F.col(spec.time), spec.cycles))
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakecast.operators.aggregates import regression_metrics
@@ -78,6 +80,74 @@ def fit(train: DataFrame, features: Sequence[str], regressor: Estimator) -> Pipe
     return Pipeline(stages=[assembler(features), regressor]).fit(train)
 
 
+_NODES = (
+    "array<struct<weight: double, feature: array<int>, threshold: array<double>, low: array<int>, high: array<int>, value: array<double>>>"
+)
+_LINE = re.compile(r"\s*(?:(If|Else) \(feature (\d+) (?:<=|>) ([^)]*)\)|Predict: (\S+)|Tree \d+ \(weight (\S+)\):)")
+
+
+def tree_arrays(model: PipelineModel) -> list[dict]:
+    """The trees of a fitted forest or of boosted trees as arrays of nodes: feature (-1 in a leaf), threshold, next nodes, value."""
+    last, trees, open_ = model.stages[-1], [], []
+    for line in last.toDebugString.splitlines()[1:]:
+        found = _LINE.match(line)
+        if found is None:
+            raise ValueError(f"only splits by thresholds are known, not {line.strip()!r}")
+        side, feature, threshold, value, weight = found.groups()
+        if weight is not None:
+            trees.append({k: [] for k in ("feature", "threshold", "low", "high", "value")} | {"weight": float(weight)})
+            open_ = []
+            continue
+        tree = trees[-1]
+        if side == "Else":
+            # What follows is the other side of the last split that still waits for it.
+            tree["high"][open_[-1]] = len(tree["value"])
+            open_.pop()
+            continue
+        at = len(tree["value"])
+        for k, x in zip(("feature", "threshold", "low", "high", "value"), (-1, 0.0, at, at, 0.0), strict=True):
+            tree[k].append(x)
+        if side == "If":
+            tree["feature"][at], tree["threshold"][at], tree["low"][at] = int(feature), float(threshold), at + 1
+            open_.append(at)
+        else:
+            tree["value"][at] = float(value)
+    return trees
+
+
+class TreeExpression:
+    """A fitted tree ensemble as one expression of built-in functions, with a pipeline model's ``transform``.
+
+    The trees are a constant of the plan; a row walks each from its root. A step of a recursive forecast stays a
+    projection, so several steps are one plan without a vector column in between.
+    """
+
+    def __init__(self, model: PipelineModel):
+        self.features = list(model.stages[0].getInputCols())
+        self.trees = tree_arrays(model)
+        mean = isinstance(model.stages[-1], RandomForestRegressionModel)
+        self.scale = float(len(self.trees)) if mean else 1.0
+        self.depth = max((t.depth for t in model.stages[-1].trees), default=0)
+
+    def score(self) -> Column:
+        x = F.array(*(F.col(f"`{c}`").cast("double") for c in self.features))
+        trees = F.from_json(F.lit(json.dumps(self.trees)), _NODES)
+
+        def leaf(tree: Column) -> Column:
+            def step(at: Column, _: Column) -> Column:
+                below = F.get(x, F.get(tree["feature"], at)) <= F.get(tree["threshold"], at)
+                onward = F.when(below, F.get(tree["low"], at)).otherwise(F.get(tree["high"], at))
+                return F.when(F.get(tree["feature"], at) < 0, at).otherwise(onward)
+
+            return F.aggregate(F.sequence(F.lit(0), F.lit(self.depth)), F.lit(0), step)
+
+        total = F.aggregate(trees, F.lit(0.0), lambda so_far, tree: so_far + tree["weight"] * F.get(tree["value"], leaf(tree)))
+        return total / F.lit(self.scale)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", self.score())
+
+
 def evaluate(model: PipelineModel, test: DataFrame, label: str) -> DataFrame:
     """rmse, mse and mae of ``model`` on ``test``, scored once."""
     return regression_metrics(model.transform(test), label)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakecast.operators.encoding import build_code_table
@@ -9,10 +11,11 @@ from lakecast.operators.projections import clean_relevant, null_field_count
 from lakecast.operators.windows import (
     add_lags,
     add_serving_means,
+    add_span_means,
     add_trailing_means,
     drop_null_lags,
 )
-from lakecast.plans.features import add_calendar, encode_keys, fill_gaps, group_daily
+from lakecast.plans.features import add_calendar, encode_keys, fill_gaps, group_daily, model_table, store_series
 from lakecast.queries.common import (
     DAILY,
     DAILY_LABELS,
@@ -37,6 +40,7 @@ from lakecast.queries.common import (
     sql_lags,
     sql_means,
     sql_model_ctes,
+    sql_window,
 
     sql_time,
     table,
@@ -103,6 +107,25 @@ def _serving(series, spec):
     return run
 
 
+def _span(series, spec):
+    def run(spark, sf_dir):
+        averaged = add_span_means(add_calendar(series(spark, sf_dir), spec), spec)
+        return comparable(averaged.select(spec.time, *spec.keys, *spec.means))
+
+    return run
+
+
+def _bucketed(series, spec):
+    """The model table from a stored series, without a shuffle."""
+
+    def run(spark, sf_dir):
+        name = f"series_{uuid.uuid4().hex}"
+        stored = store_series(series(spark, sf_dir), name, spec, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return comparable(model_table(stored, spec).select(*model_columns(spec)))
+
+    return run
+
+
 def _model(build, spec):
     def run(spark, sf_dir):
         return comparable(build(spark, sf_dir).select(*model_columns(spec)))
@@ -143,6 +166,20 @@ def _sql_serving(series, spec):
     )
 
 
+def _sql_span(series, spec):
+    columns = (spec.time, *spec.keys, *spec.means)
+    unit = "DAYS" if spec.unit == "day" else "HOURS"
+    means = ", ".join(
+        f"AVG({c}) OVER ({sql_window(spec)} RANGE BETWEEN INTERVAL {k - 1} {unit} PRECEDING AND CURRENT ROW) AS {c}_{suffix}"
+        for suffix, k in spec.windows
+        for c in spec.averaged
+    )
+    return (
+        f"WITH series AS ({series}), c AS (SELECT *, {sql_calendar(spec)} FROM series), "
+        f"m AS (SELECT *, {means} FROM c) SELECT {sql_edge(spec, columns)} FROM m"
+    )
+
+
 def _sql_model(series, spec):
     return f"WITH {sql_model_ctes(series, spec)} SELECT {sql_edge(spec, model_columns(spec))} FROM model"
 
@@ -202,6 +239,10 @@ QUERIES = [
     Query("ma_daily_split", _means(encoded_daily, DAILY, SPLIT_ROWS), _sql_means(SQL_DAILY, DAILY)),
     Query("serving_ma_daily", _serving(encoded_daily, DAILY), _sql_serving(SQL_DAILY, DAILY)),
     Query("serving_ma_hourly", _serving(encoded_hourly, HOURLY), _sql_serving(SQL_HOURLY, HOURLY)),
+    Query("serving_ma_daily_span", _span(encoded_daily, DAILY), _sql_span(SQL_DAILY, DAILY)),
+    Query("serving_ma_hourly_span", _span(encoded_hourly, HOURLY), _sql_span(SQL_HOURLY, HOURLY)),
+    Query("model_daily_bucketed", _bucketed(encoded_daily, DAILY), _sql_model(SQL_DAILY, DAILY)),
+    Query("model_hourly_bucketed", _bucketed(encoded_hourly, HOURLY), _sql_model(SQL_HOURLY, HOURLY)),
     Query("model_daily", _model(daily_model, DAILY), _sql_model(SQL_DAILY, DAILY)),
     Query("model_hourly", _model(hourly_model, HOURLY), _sql_model(SQL_HOURLY, HOURLY)),
     Query(
