@@ -522,3 +522,20 @@ def test_interleaving_of_awkward_rows(docs, rows, none):
     assert order(map(str, again)) == order(map(str, found))
     assert sharding.interleave(none, 8).count() == 0
     assert {r.shard for r in sharding.interleave(docs.limit(3), 8).collect()} == {0, 2, 5}
+
+
+def test_many_small_sources_are_ranked_in_even_ranges(spark):
+    # All rows of one-row sources have the same place; one source holds a third of all rows.
+    rows = [(i, f"site {i % 20_000}" if i < 20_000 else "hot", "x", i) for i in range(30_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, cell_ string, n_ int")
+    found = sharding.interleave(frame, shards=8, range_rows=3000)
+    assert found.columns == ["doc_id", "source", "cell_", "n_", "draw", "shard", "slot"]
+    got = found.collect()
+    assert sorted(r.doc_id for r in got) == list(range(30_000)) and all(r.cell_ == "x" and r.n_ == r.doc_id for r in got)
+    for shard in range(8):
+        own = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in own) == list(range(3750))
+    # The hot source lies evenly along the order; the places of the others are all in the middle.
+    assert [sum(r.source == "hot" for r in got if r.shard == shard) for shard in (0, 1, 6, 7)] == [3750, 1250, 1250, 3750]
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert max(s["count"] for s in sizes) < 3 * 3000
