@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecast.llm.common import discard, fresh, kept, stored, word_count
+from lakecast.llm.common import discard, fresh, kept, stored
 from lakecast.session import broadcast_if_small
 
 FIELD = "<*>"
@@ -43,34 +43,33 @@ class Tree:
     long_documents: int = 2
 
 
-_BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+#: Blanks inside a line that are not one blank: these have to be replaced, all others can stay.
+_UNEVEN = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 
 
-def _plain(words: Column) -> Column:
-    """Tokens with single blanks between them."""
-    return F.trim(F.regexp_replace(words, f"{_BLANK}+", " "))
+def _masked(words: Column) -> Column:
+    """Fields in place of tokens that hold digits; tokens have single blanks between them."""
+    return F.regexp_replace(words, "[^ ]*[0-9][^ ]*", FIELD)
 
 
-def _masked(words: Column) -> Column:
-    """The same with fields in place of tokens that hold digits."""
-    return F.regexp_replace(_plain(words), "[^ ]*[0-9][^ ]*", FIELD)
+def _n_tokens(line: Column) -> Column:
+    """Tokens of a trimmed line with single blanks."""
+    return F.when(line == "", 0).otherwise(F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
 def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
-    """``id, hash, line_no, line, leaf`` of the lines with enough tokens.
+    """``id, hash, line_no, line, n, leaf`` of the lines with enough tokens; ``line`` has single blanks between its ``n`` tokens.
 
     A document is its key and the hash of its text, so that rows without a key are documents of
-    their own and repeated rows are one.
+    their own and repeated rows are one. Blanks are evened once for the whole text; all else is cut and counted without regular expressions.
     """
     whole = F.col(text).cast("string")
-    lines = docs.select(
-        F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), F.posexplode(F.split(whole, "\n")).alias("line_no", "line")
-    )
-    # Only a line's first tokens are looked at to see whether it has enough; all are counted once.
-    long_enough = F.col("line").rlike(f"^{_BLANK}*(?:{_SOLID}+{_BLANK}+){{{tree.fixed - 1}}}{_SOLID}")
-    lead = F.regexp_extract("line", f"^{_BLANK}*({_SOLID}+(?:{_BLANK}+{_SOLID}+){{0,{tree.depth - 1}}})", 1)
-    leaf = F.xxhash64(word_count(F.col("line")), _masked(lead))
-    return lines.where(long_enough).select("id", "hash", "line_no", "line", leaf.alias("leaf"))
+    even = F.split(F.regexp_replace(whole, _UNEVEN, " "), "\n")
+    lines = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), F.posexplode(even).alias("line_no", "line"))
+    lines = lines.select("id", "hash", "line_no", F.trim("line").alias("line"))
+    lead = F.substring_index("line", " ", tree.depth)
+    lines = lines.withColumn("n", _n_tokens(F.col("line"))).where(F.col("n") >= tree.fixed)
+    return lines.withColumn("leaf", F.xxhash64("n", _masked(lead)))
 
 
 def _proposals(distinct: DataFrame, tree: Tree, least: int) -> DataFrame:
@@ -161,7 +160,7 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
         lines.select("leaf", *document).distinct().groupBy("leaf").count().where(F.col("count") >= tree.documents).select("leaf")
     )
     # Only lines with digits differ from their masked form.
-    raw = F.when(F.col("line").rlike("[0-9]"), F.xxhash64(_plain(F.col("line"))))
+    raw = F.when(F.col("line").rlike("[0-9]"), F.xxhash64("line"))
     shared = lines.join(broadcast_if_small(leaves), "leaf").select(
         "leaf", *document, "line_no", _masked(F.col("line")).alias("masked"), raw.alias("raw")
     )
@@ -184,9 +183,8 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
 
     # A long line recurs from fewer documents on. Copies of a whole document are one here: they are no
     # different documents, and where they are few, near-duplicate removal takes them.
-    size = F.length("line") >= 2 * tree.long - 1
-    long = lines.where(size & (word_count(F.col("line")) >= tree.long))
-    long = stored(long.select(*document, "line_no", F.xxhash64(_plain(F.col("line"))).alias("raw")), "long-lines")
+    long = lines.where(F.col("n") >= tree.long)
+    long = stored(long.select(*document, "line_no", F.xxhash64("line").alias("raw")), "long-lines")
     often = long.select("raw", "hash").distinct().groupBy("raw").count().where(F.col("count") >= tree.long_documents).select("raw")
     exact = long.join(often, "raw").select(*document, "line_no", F.xxhash64(F.lit("alike"), "raw").alias("template_id"))
     at = [F.col(f"x.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*document, "line_no")]
