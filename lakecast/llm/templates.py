@@ -49,7 +49,8 @@ _UNEVEN = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 
 def _masked(words: Column) -> Column:
     """Fields in place of tokens that hold digits; tokens have single blanks between them."""
-    return F.regexp_replace(words, "[^ ]*[0-9][^ ]*", FIELD)
+    # Lines without digits, by far the most, are only looked through; a token is entered at its start alone.
+    return F.when(words.rlike("[0-9]"), F.regexp_replace(words, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(words)
 
 
 def _n_tokens(line: Column) -> Column:
@@ -58,18 +59,28 @@ def _n_tokens(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, key: str, text: str, tree: Tree) -> DataFrame:
-    """``id, hash, line_no, line, n, leaf`` of the lines with enough tokens; ``line`` has single blanks between its ``n`` tokens.
+    """``id, hash, line_no, n, leaf, code, same, digits, masked`` of the lines with enough tokens; ``masked`` has single blanks between its ``n`` tokens.
 
     A document is its key and the hash of its text, so that rows without a key are documents of
-    their own and repeated rows are one. Blanks are evened once for the whole text; all else is cut and counted without regular expressions.
+    their own and repeated rows are one. Blanks are evened once for the whole text; all else is cut and counted without regular
+    expressions. ``code`` is the hash of the masked line; ``same`` that of the line as it is, null where it is never asked for.
     """
     whole = F.col(text).cast("string")
     even = F.split(F.regexp_replace(whole, _UNEVEN, " "), "\n")
     lines = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), F.posexplode(even).alias("line_no", "line"))
     lines = lines.select("id", "hash", "line_no", F.trim("line").alias("line"))
-    lead = F.substring_index("line", " ", tree.depth)
     lines = lines.withColumn("n", _n_tokens(F.col("line"))).where(F.col("n") >= tree.fixed)
-    return lines.withColumn("leaf", F.xxhash64("n", _masked(lead)))
+    lines = lines.withColumn("masked", _masked(F.col("line")))
+    asked = (F.col("masked") != F.col("line")) | (F.col("n") >= tree.long)
+    return lines.select(
+        "id", "hash", "line_no", "n",
+        F.xxhash64("n", F.substring_index("masked", " ", tree.depth)).alias("leaf"),
+        F.xxhash64("masked").alias("code"),
+        F.when(asked, F.xxhash64("line")).alias("same"),
+        # Only lines with digits differ from their masked form.
+        (F.col("masked") != F.col("line")).alias("digits"),
+        "masked",
+    )
 
 
 def _proposals(distinct: DataFrame, tree: Tree, least: int) -> DataFrame:
@@ -154,21 +165,19 @@ def _templates(shared: DataFrame, distinct: DataFrame, tree: Tree) -> DataFrame:
 
 def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """``id, hash, line_no, template_id, first`` of the lines of recurring templates, and the templates."""
-    lines = _lines(docs, key, text, tree)
+    # Texts are parsed once; what follows reads columns of these rows.
+    lines = stored(_lines(docs, key, text, tree), "lines")
     document = ["id", "hash"]
     leaves = kept(
         lines.select("leaf", *document).distinct().groupBy("leaf").count().where(F.col("count") >= tree.documents).select("leaf")
     )
-    # Only lines with digits differ from their masked form.
-    raw = F.when(F.col("line").rlike("[0-9]"), F.xxhash64("line"))
-    shared = lines.join(broadcast_if_small(leaves), "leaf").select(
-        "leaf", *document, "line_no", _masked(F.col("line")).alias("masked"), raw.alias("raw")
-    )
-    shared = stored(shared.withColumn("code", F.xxhash64("masked")), "shared-lines")
+    several = lines.join(broadcast_if_small(leaves), "leaf", "left_semi")
+    raw = F.when(F.col("digits"), F.col("same")).alias("raw")
+    shared = stored(several.select("leaf", "code", *document, "line_no", raw), "shared-lines")
 
     # Every distinct line once, weighing as many as the documents that have it.
     weights = shared.select("leaf", "code", *document).distinct().groupBy("leaf", "code").agg(F.count(F.lit(1)).alias("documents"))
-    texts = shared.groupBy("leaf", "code").agg(F.first("masked").alias("masked"))
+    texts = several.groupBy("leaf", "code").agg(F.first("masked").alias("masked"))
     distinct = stored(weights.join(texts, ["leaf", "code"]), "distinct-lines")
     templates = _templates(shared, distinct, tree)
     found = shared.join(templates.select("leaf", "code", "template_id"), ["leaf", "code"])
@@ -183,17 +192,17 @@ def _marked(docs: DataFrame, tree: Tree, key: str, text: str) -> tuple[DataFrame
 
     # A long line recurs from fewer documents on. Copies of a whole document are one here: they are no
     # different documents, and where they are few, near-duplicate removal takes them.
-    long = lines.where(F.col("n") >= tree.long)
-    long = stored(long.select(*document, "line_no", F.xxhash64("line").alias("raw")), "long-lines")
+    long = lines.where(F.col("n") >= tree.long).select(*document, "line_no", F.col("same").alias("raw"))
     often = long.select("raw", "hash").distinct().groupBy("raw").count().where(F.col("count") >= tree.long_documents).select("raw")
     exact = long.join(often, "raw").select(*document, "line_no", F.xxhash64(F.lit("alike"), "raw").alias("template_id"))
     at = [F.col(f"x.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*document, "line_no")]
     found = found.unionByName(stored(exact.alias("x").join(found.alias("f"), at, "left_anti"), "long-templates"))
-    discard(long)
+    discard(lines)
 
     place = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "line_no")
-    firsts = found.groupBy("template_id").agg(F.min(place).alias("at"))
-    marks = found.join(firsts, "template_id").select(*document, "line_no", "template_id", place.eqNullSafe(F.col("at")).alias("first"))
+    firsts = kept(found.groupBy("template_id").agg(F.min(place).alias("at")))
+    # A template may be on every page: its lines meet its first one without being brought together, where that fits.
+    marks = found.join(broadcast_if_small(firsts), "template_id").select(*document, "line_no", "template_id", place.eqNullSafe(F.col("at")).alias("first"))
     return marks, templates
 
 
