@@ -48,6 +48,8 @@ log = logging.getLogger(__name__)
 TIME = "transit_timestamp"
 MEASURES = ["ridership", "transfers", "latitude", "longitude"]
 SPECS = {"day": DAILY, "hour": HOURLY}
+#: States of the code table that stay readable for jobs still at work.
+KEPT_STATES = 5
 
 
 def _landed(spark: SparkSession, path: str) -> DataFrame:
@@ -127,8 +129,8 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
 def _codes(spark: SparkSession, grouped: DataFrame, root: str) -> DataFrame:
     """The code table next to the models: built once, then only extended."""
     if table_exists(spark, root):
-        return replace_self(extend_code_table(read_current(spark, root), grouped, transit.LABEL_COLUMNS), root)
-    return replace_self(build_code_table(grouped, transit.LABEL_COLUMNS), root)
+        return replace_self(extend_code_table(read_current(spark, root), grouped, transit.LABEL_COLUMNS), root, keep=KEPT_STATES)
+    return replace_self(build_code_table(grouped, transit.LABEL_COLUMNS), root, keep=KEPT_STATES)
 
 
 def _model_rows(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, SeriesSpec]:

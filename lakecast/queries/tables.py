@@ -24,9 +24,12 @@ from lakecast.sources.files import (
     write_months,
 )
 from lakecast.sources.tables import (
+    append_to_current,
+    compact,
     create_or_replace_as,
     latest_in_partitions,
     read_current,
+    remove_versions,
     replace_self,
     scan_table,
     scan_warehouse,
@@ -148,6 +151,17 @@ def _replace_self(spark, sf_dir):
     return comparable(read_current(spark, root).select(*ORDER_COLUMNS))
 
 
+def _compacted(spark, sf_dir):
+    """Orders appended in four batches to years, their small files merged, older states removed."""
+    root = scratch_path(spark, "appended")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    for batch in range(4):
+        append_to_current(orders.where(F.pmod("o_orderkey", F.lit(4)) == batch), root, ["year"])
+    compact(spark, root)
+    remove_versions(spark, root, keep=1)
+    return comparable(read_current(spark, root).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents")))
+
+
 def _create_or_replace(spark, sf_dir):
     path = scratch_path(spark, "staging")
     lineitem = table(spark, sf_dir, "lineitem")
@@ -210,6 +224,8 @@ QUERIES = [
     Query("latest_in_partitions", _latest_in_partitions,
           f"SELECT {SQL_ORDERS} FROM orders WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders)"),
     Query("replace_self", _replace_self, f"SELECT {SQL_ORDERS} FROM orders"),
+    Query("compacted_appends", _compacted,
+          "SELECT year(o_orderdate)::INT AS year, COUNT(*) AS n, SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY 1"),
     Query("create_or_replace_as", _create_or_replace,
           "SELECT l_returnflag, round(SUM(l_quantity), 6) AS quantity FROM lineitem GROUP BY 1"),
     Query("warehouse_round_trip", _warehouse,

@@ -23,13 +23,18 @@ from lakecast.sources.files import (
     write_months,
 )
 from lakecast.sources.tables import (
+    append_to_current,
+    compact,
     latest_in_partitions,
     read_current,
+    remove_batches,
+    remove_versions,
     replace_self,
     scan_table,
     scan_warehouse,
     table_exists,
     write_partitioned,
+    write_quarantine,
     write_warehouse,
 )
 from lakecast.session import is_small
@@ -361,3 +366,66 @@ def test_missing_file_column_is_noticed(spark, tmp_path):
             spark, str(source), transit.RAW_SCHEMA, str(tmp_path / "silver"), transit.rules(stations),
             "transit_timestamp", ["ridership"], str(tmp_path / "good"), str(tmp_path / "bad"),
         )
+
+
+def _versioned(spark, root, batches=3):
+    """Months 1 and 2 in every batch, month 3 in the first alone."""
+    for batch in range(batches):
+        months = 3 if batch == 0 else 2
+        rows = spark.range(batch * 100, batch * 100 + 30 * months).withColumn("month", (F.col("id") % months + 1).cast("int"))
+        append_to_current(rows, root, ["month"])
+
+
+def test_compaction_rewrites_crowded_partitions_only(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    _versioned(spark, root)
+    before = read_current(spark, root)
+    rows, files = sorted(before.collect()), set(before.inputFiles())
+    assert compact(spark, root) == ["month=1", "month=2"]
+    after = read_current(spark, root)
+    assert sorted(after.select(*before.columns).collect()) == rows
+    assert len(after.inputFiles()) == 3 < len(files)
+    kept = {f for f in after.inputFiles() if "month=3" in f}
+    assert kept and kept <= files
+    # A reader of the state before still has its files; nothing is left to merge.
+    assert sorted(before.collect()) == rows
+    assert compact(spark, root) == []
+
+
+def test_old_states_are_removed_after_a_stated_number(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    _versioned(spark, root)
+    before = read_current(spark, root)
+    rows = sorted(before.collect())
+    compact(spark, root)
+    assert remove_versions(spark, root, keep=2) == 0
+    assert sorted(before.collect()) == rows
+    # Of the first batch, month 3 is still the table's; its other months go, and so do the other batches.
+    assert remove_versions(spark, root, keep=1) == 4
+    assert sorted(read_current(spark, root).select(*before.columns).collect()) == rows
+    with pytest.raises(ValueError):
+        remove_versions(spark, root, keep=0)
+    for n in (1, 2, 3):
+        replace_self(spark.range(n), root, keep=2)
+    assert len(list((tmp_path / "lake").glob("version=*"))) == 2
+    assert read_current(spark, root).count() == 3
+
+
+def test_unpartitioned_tables_are_compacted_too(spark, tmp_path):
+    root = str(tmp_path / "plain")
+    for n in range(3):
+        append_to_current(spark.range(n * 10, n * 10 + 10), root)
+    assert compact(spark, root) == [""]
+    assert sorted(r.id for r in read_current(spark, root).collect()) == list(range(30))
+    assert len(read_current(spark, root).inputFiles()) == 1
+    with pytest.raises(ValueError):
+        replace_self(spark.range(1).withColumn("Version", F.lit(1)), root)
+
+
+def test_quarantine_keeps_the_newest_batches(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    for n in range(3):
+        write_quarantine(spark.range(n), spark.range(n + 1), good, bad, f"b{n}")
+    assert remove_batches(spark, bad, 2) == 1
+    assert {p.name for p in (tmp_path / "bad").glob("batch=*")} == {"batch=b1", "batch=b2"}
+    assert remove_batches(spark, str(tmp_path / "none"), 2) == 0
