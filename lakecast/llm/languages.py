@@ -31,13 +31,15 @@ class Settings:
     """``bits``: n-grams are hashed to 2^bits classes. ``penalty``: log-likelihood a language has to
     add per log of the n-gram count (0.5 would be the usual penalty for independent draws; n-grams overlap,
     so it is larger). ``least_share``: proportions below it leave the set. ``languages``:
-    bound of the model broadcast, 2^bits floats a language."""
+    bound of the model broadcast, 2^bits floats of four bytes a language; of more, those with the most documents are
+    learned. ``block``: languages fitted at once."""
 
     bits: int = 14
     rounds: int = 15
     penalty: float = 3.0
     least_share: float = 0.02
-    languages: int = 512
+    languages: int = 1024
+    block: int = 64
 
 
 def ngram_counts(text: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,8 +76,8 @@ def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text",
     """Distributions from all rows with a text and a language.
 
     Each task counts its rows' n-grams by language; the counts are summed in one aggregate. The model's
-    size is set by ``bits`` and the number of languages, not by the rows; more than
-    ``settings.languages`` languages are refused. Without rows the model knows no language.
+    size is set by ``bits`` and ``settings.languages``, not by the rows: a column with more values than that teaches those
+    that most documents have (ties: by name), so that stray values cannot stop a run. Without rows the model knows no language.
     """
     size = 1 << settings.bits
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
@@ -100,15 +102,14 @@ def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text",
             )
 
     sums = rows.mapInArrow(count, "lang string, class long, n long").groupBy("lang", "class").agg(F.sum("n").alias("n"))
-    found = sums.groupBy("lang").agg(F.collect_list(F.struct("class", "n")).alias("counts")).limit(settings.languages + 1).toPandas()
-    if len(found) > settings.languages:
-        raise ValueError(f"more than {settings.languages} languages")
-    found = found.sort_values("lang")
-    names = tuple(found["lang"])
-    chances = np.empty((size, len(names)))
-    for i, counts in enumerate(found["counts"]):
+    each = sums.groupBy("lang").agg(F.sum("n").alias("weight"), F.collect_list(F.struct(F.col("class").cast("int").alias("class"), "n")).alias("counts"))
+    most = each.orderBy(F.desc("weight"), "lang").limit(settings.languages)
+    found = most.select("lang", F.col("counts.class").alias("classes"), F.col("counts.n").alias("counts")).toArrow().sort_by("lang")
+    names = tuple(found["lang"].to_pylist())
+    chances = np.empty((size, len(names)), np.float32)
+    for i in range(len(names)):
         column = np.zeros(size)
-        column[[c[0] for c in counts]] = [c[1] for c in counts]
+        column[found["classes"][i].values.to_numpy()] = found["counts"][i].values.to_numpy()
         # Unseen classes get the share of a single n-gram in a text of a thousand.
         column += 1e-4 * max(column.sum(), 1.0) / size
         chances[:, i] = column / column.sum()
@@ -126,10 +127,28 @@ def _fit(chances: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarr
     return shares, float(counts @ np.log(chances @ shares))
 
 
+def _candidates(chances: np.ndarray, counts: np.ndarray, settings: Settings) -> np.ndarray:
+    """Columns of the languages to fit together: with more than a block, those that take the least share, or the largest, of their block.
+
+    A text's own languages explain their part in any block, so they stay; blocks of what stays are fitted again.
+    """
+    found = np.arange(chances.shape[1])
+    while len(found) > settings.block:
+        parts = []
+        for part in np.array_split(found, -(-len(found) // settings.block)):
+            shares, _ = _fit(chances[:, part], counts, settings.rounds)
+            parts.append(part[shares >= min(settings.least_share, shares.max())])
+        left = np.concatenate(parts)
+        if len(left) == len(found):
+            break
+        found = left
+    return found
+
+
 def infer(text: bytes | None, model: Model) -> dict[str, float]:
     """Languages of a text with their proportions; empty if it is null, has no letter, or nothing was learned.
 
-    All languages are fitted first; sets of the first one, two, ... by proportion are
+    All languages are fitted first, in blocks where they are many; sets of the first one, two, ... by proportion are
     fitted again and the best by penalised likelihood is taken. Equal proportions
     are ordered by name.
     """
@@ -137,7 +156,9 @@ def infer(text: bytes | None, model: Model) -> dict[str, float]:
         return {}
     settings = model.settings
     classes, counts = ngram_counts(text, settings.bits)
-    chances = model.chances[classes]
+    chances = model.chances[classes].astype(np.float64)
+    kept = _candidates(chances, counts, settings)
+    chances = chances[:, kept]
     shares, _ = _fit(chances, counts, settings.rounds)
     order = np.argsort(-shares, kind="stable")
     cost = settings.penalty * np.log(counts.sum() + 1)
@@ -149,7 +170,7 @@ def infer(text: bytes | None, model: Model) -> dict[str, float]:
         if likelihood - k * cost <= best_score:
             break
         best, best_shares, best_score = order[:k], own, likelihood - k * cost
-    ranked = sorted(zip(-best_shares, best, strict=True))
+    ranked = sorted(zip(-best_shares, kept[best], strict=True))
     return {model.names[i]: float(-share) for share, i in ranked}
 
 

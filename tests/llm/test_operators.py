@@ -293,6 +293,30 @@ def test_languages_of_awkward_rows(docs, rows, none):
     assert languages.without_unidentified(docs, model, 0.0).count() == sum(r.lang != "und" for r in found)
 
 
+def test_many_values_of_lang_stop_nothing(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def speech(i, n=60):
+        own = random.Random(i)
+        vocabulary = ["".join(own.choices(letters, k=own.randint(3, 8))) for _ in range(40)]
+        return " ".join(rng.choices(vocabulary, k=n))
+
+    rows = [(k, speech(k % 600), f"l{k % 600:03}") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = languages.train(docs)
+    assert len(model.names) == 600
+    assert sum(next(iter(languages.infer(speech(i).encode(), model))) == f"l{i:03}" for i in range(0, 600, 20)) == 30
+    mixed = languages.infer(" ".join(speech(i, n) for i, n in ((5, 160), (205, 120), (405, 120))).encode(), model)
+    assert set(mixed) == {"l005", "l205", "l405"} and next(iter(mixed)) == "l005"
+    # Beyond the bound, the values that most documents have are learned.
+    often = docs.union(docs.where("lang < 'l010'"))
+    assert languages.train(often, languages.Settings(languages=10)).names == tuple(f"l{i:03}" for i in range(10))
+    # Languages that cannot be told apart all stay candidates.
+    same = spark.createDataFrame([(i, "the same words", f"s{i:03}") for i in range(130)], "doc_id long, text string, lang string")
+    assert next(iter(languages.infer(b"the same words", languages.train(same)))) in {f"s{i:03}" for i in range(130)}
+
+
 # --- line dedup ---------------------------------------------------------------------------
 
 
