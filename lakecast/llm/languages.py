@@ -2,7 +2,8 @@
 
 A document's n-grams are draws from a mixture of the languages' n-gram distributions.
 Expectation-maximisation finds the proportions; the set of languages is the one whose
-likelihood, less a penalty for each language, is greatest.
+likelihood, less a penalty for each language, is greatest. Whether a text is in them at all is told by
+that likelihood, next to what their own training texts have.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ class Settings:
     add per log of the n-gram count (0.5 would be the usual penalty for independent draws; n-grams overlap,
     so it is larger). ``least_share``: proportions below it leave the set. ``languages``:
     bound of the model broadcast, 2^bits floats of four bytes a language; of more, those with the most documents are
-    learned. ``block``: languages fitted at once."""
+    learned. ``block``: languages fitted at once. ``taught``: documents that a language needs before a text is rejected for
+being unlike it; of fewer, too much of the language is unseen. ``deviations``: standard deviations of chance that a text's fit is forgiven."""
 
     bits: int = 14
     rounds: int = 15
@@ -40,6 +42,8 @@ class Settings:
     least_share: float = 0.02
     languages: int = 1024
     block: int = 64
+    taught: int = 50
+    deviations: float = 4.0
 
 
 def ngram_counts(text: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +69,14 @@ def has_letter(text: bytes | None) -> bool:
 
 @dataclass(frozen=True)
 class Model:
-    """``chances``: class by language, each language's n-gram distribution."""
+    """``chances``: class by language, each language's n-gram distribution. ``levels``: mean log-likelihood of an n-gram
+    of a language's training texts, minus infinity if they are too few to tell. ``spreads``: its standard deviation."""
 
     names: tuple[str, ...]
     chances: np.ndarray
     settings: Settings
+    levels: np.ndarray
+    spreads: np.ndarray
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text", lang: str = "lang") -> Model:
@@ -107,13 +114,19 @@ def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text",
     found = most.select("lang", F.col("counts.class").alias("classes"), F.col("counts.n").alias("counts")).toArrow().sort_by("lang")
     names = tuple(found["lang"].to_pylist())
     chances = np.empty((size, len(names)), np.float32)
+    levels, spreads = np.full(len(names), -np.inf), np.zeros(len(names))
     for i in range(len(names)):
         column = np.zeros(size)
         column[found["classes"][i].values.to_numpy()] = found["counts"][i].values.to_numpy()
         # Unseen classes get the share of a single n-gram in a text of a thousand.
-        column += 1e-4 * max(column.sum(), 1.0) / size
-        chances[:, i] = column / column.sum()
-    return Model(names, chances, settings)
+        smooth = column + 1e-4 * max(column.sum(), 1.0) / size
+        chances[:, i] = smooth / smooth.sum()
+        # Each document weighs a million.
+        if column.sum() >= (settings.taught - 0.5) * 1e6:
+            logs, seen = np.log(smooth / smooth.sum()), column / column.sum()
+            levels[i] = seen @ logs
+            spreads[i] = np.sqrt(max(0.0, seen @ logs**2 - levels[i] ** 2))
+    return Model(names, chances, settings, levels, spreads)
 
 
 def _fit(chances: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
@@ -145,15 +158,18 @@ def _candidates(chances: np.ndarray, counts: np.ndarray, settings: Settings) ->
     return found
 
 
-def infer(text: bytes | None, model: Model) -> dict[str, float]:
-    """Languages of a text with their proportions; empty if it is null, has no letter, or nothing was learned.
+def judge(text: bytes | None, model: Model) -> tuple[dict[str, float], float]:
+    """Languages of a text with their proportions, and how well they explain it; none if it is null, has no letter, or nothing was learned.
 
     All languages are fitted first, in blocks where they are many; sets of the first one, two, ... by proportion are
     fitted again and the best by penalised likelihood is taken. Equal proportions
     are ordered by name.
+
+    The second number is 0, or what the log-likelihood of an n-gram lacks, beyond chance, to that of texts of these
+    languages in these proportions; texts of known languages are near 0 however many they mix, others far below.
     """
     if not model.names or not has_letter(text):
-        return {}
+        return {}, 0.0
     settings = model.settings
     classes, counts = ngram_counts(text, settings.bits)
     chances = model.chances[classes].astype(np.float64)
@@ -162,30 +178,40 @@ def infer(text: bytes | None, model: Model) -> dict[str, float]:
     shares, _ = _fit(chances, counts, settings.rounds)
     order = np.argsort(-shares, kind="stable")
     cost = settings.penalty * np.log(counts.sum() + 1)
-    best, best_shares, best_score = order[:1], np.ones(1), _fit(chances[:, order[:1]], counts, 0)[1] - cost
+    best, best_shares, likeliest = order[:1], np.ones(1), _fit(chances[:, order[:1]], counts, 0)[1]
     for k in range(2, len(order) + 1):
         if shares[order[k - 1]] < settings.least_share:
             break
         own, likelihood = _fit(chances[:, order[:k]], counts, settings.rounds)
-        if likelihood - k * cost <= best_score:
+        if likelihood - k * cost <= likeliest - len(best) * cost:
             break
-        best, best_shares, best_score = order[:k], own, likelihood - k * cost
+        best, best_shares, likeliest = order[:k], own, likelihood
     ranked = sorted(zip(-best_shares, kept[best], strict=True))
-    return {model.names[i]: float(-share) for share, i in ranked}
+    n, part = counts.sum(), np.maximum(best_shares, 1e-12)
+    # A mixture is at least as likely as its parts in their places, each less the cost of the choice.
+    level = part @ (model.levels[kept[best]] + np.log(part))
+    lack = likeliest / n - level + settings.deviations * (part @ model.spreads[kept[best]]) / np.sqrt(n)
+    return {model.names[i]: float(-share) for share, i in ranked}, float(min(0.0, lack))
+
+
+def infer(text: bytes | None, model: Model) -> dict[str, float]:
+    """Languages of a text with their proportions, largest first, as ``judge`` finds them."""
+    return judge(text, model)[0]
 
 
 def predictor(docs: DataFrame, model: Model):
-    """A column function: text to ``struct<lang, score, languages, shares>``.
+    """A column function: text to ``struct<lang, score, languages, shares, fit>``.
 
-    ``lang`` is the language of the largest proportion, ``score`` that proportion;
+    ``lang`` is the language of the largest proportion, ``score`` that proportion, ``fit`` how well all explain the text;
     a text without languages gets ``und`` and 0. The model is broadcast; its size is bounded
     by the settings. Only the text is an input.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, languages array<string>, shares array<double>")
+    @F.pandas_udf("lang string, score double, languages array<string>, shares array<double>, fit double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [infer(t.encode() if t is not None else None, shared.value) for t in texts]
+        judged = [judge(t.encode() if t is not None else None, shared.value) for t in texts]
+        found = [languages for languages, _ in judged]
         top = [next(iter(f.items()), (UNKNOWN, 0.0)) for f in found]
         return pd.DataFrame(
             {
@@ -193,6 +219,7 @@ def predictor(docs: DataFrame, model: Model):
                 "score": [min(1.0, max(0.0, t[1])) for t in top],
                 "languages": [list(f) for f in found],
                 "shares": [list(f.values()) for f in found],
+                "fit": [fit for _, fit in judged],
             }
         )
 
@@ -208,7 +235,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
     return docs.withColumn(into, predictor(docs, model)(F.col(text).cast("string")))
 
 
-def without_unidentified(docs: DataFrame, model: Model, least_score: float = 0.5, text: str = "text") -> DataFrame:
-    """Rows in a known language that makes up at least ``least_score`` of the text; all columns stay."""
+def without_unidentified(docs: DataFrame, model: Model, least_fit: float = -1.5, text: str = "text") -> DataFrame:
+    """Rows in languages that the model knows, one or many; all columns stay.
+
+    A text goes if it is ``und``, or if its n-grams are on average ``exp(-least_fit)`` times less likely than those of
+    texts in the languages that explain it best. Languages taught by few documents reject nothing.
+    """
     judged: Column = predictor(docs, model)(F.col(text).cast("string"))
-    return docs.where((judged["lang"] != UNKNOWN) & (judged["score"] >= least_score))
+    return docs.where((judged["lang"] != UNKNOWN) & (judged["fit"] >= least_fit))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakecast.llm import archive, jaccard, languages, mixing, neighbours, outliers, packing, sharding, templates, topk
 from lakecast.llm.common import components, kept
-from tests.llm.brute import DOCS, awkward_documents, jaccard_components, near_copies, order, words
+from tests.llm.brute import DOCS, awkward_documents, jaccard_components, near_copies, order, template_lines, words
 
 
 @pytest.fixture(scope="module")
@@ -290,7 +290,7 @@ def test_languages_of_awkward_rows(docs, rows, none):
     for r in found:
         assert (r.lang == "und") == (not any(map(str.isalpha, r.text or ""))) and 0 <= r.score <= 1
     assert languages.train(none).names == () and languages.identify(none, model).count() == 0
-    assert languages.without_unidentified(docs, model, 0.0).count() == sum(r.lang != "und" for r in found)
+    assert languages.without_unidentified(docs, model, -np.inf).count() == sum(r.lang != "und" for r in found)
 
 
 def test_many_values_of_lang_stop_nothing(spark):
@@ -320,30 +320,6 @@ def test_many_values_of_lang_stop_nothing(spark):
 # --- line dedup ---------------------------------------------------------------------------
 
 
-def template_lines(rows, tree):
-    """The operator's definition on (doc_id, text): dropped (doc_id, line number), by plain loops."""
-    docs = sorted({(r[0] is None, r[0], r[1]) for r in rows if r[1] is not None}, key=str)
-    lines = []
-    for last, doc_id, text in docs:
-        for i, line in enumerate(text.split("\n")):
-            tokens = words(line)
-            if len(tokens) >= tree.fixed:
-                masked = tuple("<*>" if any(c in "0123456789" for c in t) else t for t in tokens)
-                lines.append(((doc_id, text), i, masked, (len(masked), masked[: tree.depth])))
-    support = {}
-    for doc, masked, leaf in {(d, m, leaf) for d, _, m, leaf in lines}:
-        for place, token in enumerate(masked):
-            support[leaf, place, token] = support.get((leaf, place, token), 0) + 1
-    have, of_line = {}, {}
-    for doc, i, masked, leaf in lines:
-        template = tuple(t if t != "<*>" and support[leaf, p, t] >= tree.documents else "<*>" for p, t in enumerate(masked))
-        n = sum(t != "<*>" for t in template)
-        if n >= tree.fixed if n == len(template) else n >= tree.fixed_of_fields and n >= tree.share * len(template):
-            have.setdefault((leaf, template), set()).add(doc)
-            of_line[doc, i] = (leaf, template)
-    return {at: t for at, t in of_line.items() if len(have[t]) >= tree.documents}
-
-
 def test_recurring_templates_equal_plain_loops(spark):
     rng = random.Random(7)
     prose = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta"]

@@ -10,8 +10,8 @@ import __spark_entry__
 import corpus_pipeline
 from lakecast.llm import languages, packing, templates
 from lakecast.llm.common import kept
-from tests.llm.brute import DOCS, awkward_documents, jaccard_components, near_copies, order, words
-from tests.llm.test_operators import template_lines, water_fill
+from tests.llm.brute import DOCS, awkward_documents, jaccard_components, near_copies, order, template_lines, words
+from tests.llm.test_operators import water_fill
 
 
 @pytest.fixture(scope="module")
@@ -42,8 +42,8 @@ def test_stages_equal_plain_python(spark, documents):
         docs = found[name]
 
     model = languages.train(documents)
-    judged = {(r.doc_id, r.text): languages.infer(r.text.encode() if r.text else None, model) for r in documents.collect()}
-    spoken = [p for p in pairs(documents) if judged[p] and next(iter(judged[p].values())) >= 0.5]
+    judged = {(r.doc_id, r.text): languages.judge(r.text.encode() if r.text else None, model) for r in documents.collect()}
+    spoken = [p for p in pairs(documents) if judged[p][0] and judged[p][1] >= -1.5]
     assert order(pairs(found["language_id"])) == order(spoken) and 500 not in {d for d, _ in spoken}
 
     tree = templates.Tree()
