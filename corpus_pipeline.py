@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lakecast.llm import jaccard, languages, mixing, packing, templates
 from lakecast.llm.common import prepare
 from lakecast.session import scratch_path
+from lakecast.sources.tables import delete_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,7 +24,7 @@ NEAR = jaccard.Join(words=5, percent=80)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those of which no language makes up half.
+    """Drops documents without letters and those that none of the languages known, nor any mixture of them, explains.
 
     The model learns from the documents' own text and language. If no row has a language, nothing can
     be judged and all rows stay.
@@ -70,10 +71,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written and read again in the shared folder."""
+    """The stages over ``documents``, each written and read again in the shared folder.
+
+    A stage's folder is deleted once the next one is written; the last one's is what the result reads.
+    """
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
