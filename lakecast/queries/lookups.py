@@ -374,7 +374,10 @@ SELECT o_orderpriority, SUM(CAST(round(o_totalprice) AS BIGINT)) AS total, COUNT
 FROM orders_for_sql GROUP BY o_orderpriority;
 ```
 It sums by priority."""
-    return comparable(run_sql(spark, answer))
+    result = comparable(run_sql(spark, answer))
+    # The plan is resolved; the caller's session keeps no view.
+    spark.catalog.dropTempView("orders_for_sql")
+    return result
 
 
 _KEYS = ", ".join(DAILY.keys)
