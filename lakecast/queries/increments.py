@@ -33,6 +33,9 @@ _OLD = "l_shipdate < TIMESTAMP '2001-07-01' AND l_orderkey % 40 <> 0"
 _NEW = "l_shipdate >= TIMESTAMP '2001-07-01' AND l_orderkey % 40 <> 0"
 _LATE = "l_orderkey % 40 = 0"
 
+#: Rows of a landed file, about 60 MB on their way through the shuffle; there are as many files as that takes, and two at least.
+FILE_ROWS = 2_000_000
+
 
 def _curated_months(fmt: str = "parquet", snapshot: bool = False):
     """Orders before a date, then all from a few days earlier on, with some older ones again."""
@@ -51,9 +54,14 @@ def _curated_months(fmt: str = "parquet", snapshot: bool = False):
 
 
 def _landed(spark, sf_dir, condition: str, files: int = 2):
-    """The facts of a condition as files of their own."""
+    """The facts of a condition as files of their own, ``files`` at least.
+
+    The number of rows and the row itself decide on a row's file, so the same facts always give files of the same rows, and no key
+    makes a file large.
+    """
     rows = table(spark, sf_dir, "lineitem").where(condition).select(*FACTS)
-    return with_file(create_or_replace_as(rows.repartition(files, "l_orderkey"), scratch_path(spark, "landed")))
+    files = max(files, -(-rows.count() // FILE_ROWS))
+    return with_file(create_or_replace_as(rows.repartition(files, *FACTS), scratch_path(spark, "landed")))
 
 
 def _add(facts, root):

@@ -15,7 +15,8 @@ from lakecast.plans.curating import MONTH, append_months_by_key
 from lakecast.plans.features import model_table
 from lakecast.plans.increments import add_partial_groups, merged_groups, update_model_table
 from lakecast.plans.loading import load_validated
-from lakecast.plans.staging import stage, with_file
+from lakecast.plans.staging import FILE, stage, with_file
+from lakecast.queries import increments
 from lakecast.series import SeriesSpec
 from lakecast.sources import footers
 from lakecast.sources.files import common_columns, scan_parquet
@@ -223,6 +224,33 @@ def test_partial_groups_of_files(spark, tmp_path):
     assert groups() == expected
 
 
+def lineitem(spark, folder):
+    """4,000 rows of one order, each day from 1998 on; copies of rows as well."""
+    row = F.col("id") % 3900
+    df = spark.range(4000).select(
+        F.lit(41).alias("l_orderkey"), row.cast("int").alias("l_linenumber"), (row % 50).cast("double").alias("l_quantity"),
+        row.cast("double").alias("l_extendedprice"), F.lit("A").alias("l_returnflag"), F.when(row % 2 == 0, "F").alias("l_linestatus"),
+        F.date_add(F.lit("1998-01-01").cast("date"), (row % 400).cast("int")).cast("timestamp").alias("l_shipdate"),
+    )
+    return create_or_replace_as(df, f"{folder}/lineitem.parquet")
+
+
+def test_landed_files_grow_in_number_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(increments, "FILE_ROWS", 500, raising=False)
+    lineitem(spark, tmp_path)
+    one, two = (increments._landed(spark, str(tmp_path), increments._OLD) for _ in range(2))
+    sizes = [r["count"] for r in one.groupBy(FILE).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 750
+    contents = [
+        sorted(map(tuple, df.groupBy(FILE).agg(F.count("*"), F.sum("l_linenumber"), F.min("l_linenumber")).drop(FILE).collect())) for df in (one, two)
+    ]
+    assert contents[0] == contents[1]
+    # Few rows, and none: two files at most, as before.
+    monkeypatch.undo()
+    assert increments._landed(spark, str(tmp_path), increments._OLD).select(FILE).distinct().count() == 2
+    assert increments._landed(spark, str(tmp_path), increments._LATE).count() == 0
+
+
 def test_sums_of_a_load_that_died_do_not_count(spark, tmp_path):
     root = str(tmp_path / "groups")
     df = with_file(create_or_replace_as(facts(spark, [("2024-01-01 01:00:00", "a", 2.0)]), str(tmp_path / "one")))
