@@ -251,6 +251,20 @@ def test_landed_files_grow_in_number_only(spark, tmp_path, monkeypatch):
     assert increments._landed(spark, str(tmp_path), increments._LATE).count() == 0
 
 
+def test_groups_of_many_landed_files(spark, tmp_path, monkeypatch):
+    """Old files that come three times count once each, however many there are."""
+    monkeypatch.setattr(increments, "FILE_ROWS", 500, raising=False)
+    monkeypatch.setattr(increments, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{uuid.uuid4().hex}"))
+    rows = lineitem(spark, tmp_path)
+    found = increments._group_daily_increment(spark, str(tmp_path))
+    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("transit_date")
+    sums = [F.sum(c).cast("bigint").alias(n) for n, c in increments.SUMS.items()]
+    whole = rows.groupBy(day, *increments.DAILY_LABELS).agg(*sums)
+    assert found.count() == 400 and found.exceptAll(whole).count() == whole.exceptAll(found).count() == 0
+    (listed,) = tmp_path.glob("groups-*/files")
+    assert spark.read.parquet(str(listed)).count() == 8
+
+
 def test_sums_of_a_load_that_died_do_not_count(spark, tmp_path):
     root = str(tmp_path / "groups")
     df = with_file(create_or_replace_as(facts(spark, [("2024-01-01 01:00:00", "a", 2.0)]), str(tmp_path / "one")))
