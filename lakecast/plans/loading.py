@@ -70,7 +70,7 @@ def merge_insert_only(
         kind = target.schema[time].dataType
         stored = stored.where((F.col(time) >= F.lit(first).cast(kind)) | F.col(time).isNull())
     new = missing_rows(batch, stored, [*wanted, partition], dedupe)
-    write_partitioned(new, path, partition, mode="append", fmt=fmt)
+    write_partitioned(new, path, partition, mode="append", fmt=fmt, spread=True)
 
 
 @dataclass(frozen=True)
@@ -170,7 +170,7 @@ def _judged(
     elif passed and not dedupe:
         publish_folder(rows.sparkSession, staged.path, path)
     else:
-        write_partitioned(accepted.dropDuplicates() if dedupe else accepted, path, partition, fmt=fmt)
+        write_partitioned(accepted.dropDuplicates() if dedupe else accepted, path, partition, fmt=fmt, spread=True)
     if not passed:
         return LoadReport("split", summary)
     return LoadReport("merged" if exists else "loaded", summary)

@@ -57,7 +57,9 @@ def stage(batch: DataFrame, rules: Sequence[Rule], beside: str, time: str, parti
     """Write ``batch`` once, beside the table it is meant for, and observe it.
 
     Observed: rows, each value rule's counts, the first time, the partitions, the files, and a digest of all rows. The
-    metrics are taken in the tasks that write, so a task that is run again counts once.
+    metrics are taken in the tasks that write, so a task that is run again counts once. Rows go to these by partition, as a
+    writing task sorts all its rows by partition and a split of a file may hold more than its memory should; a hot partition
+    is split as far as its rows come from several tasks.
     """
     kept = [f for f in batch.schema.fields if f.name not in (FILE, partition)]
     measures = {
@@ -72,7 +74,7 @@ def stage(batch: DataFrame, rules: Sequence[Rule], beside: str, time: str, parti
     folder, _, name = beside.rstrip("/").rpartition("/")
     path = f"{folder}/_{name}-staged-{uuid.uuid4().hex}"
     watch = Observation()
-    rows = flagged(batch, rules).observe(watch, *(c.alias(n) for n, c in measures.items()))
+    rows = flagged(batch, rules).hint("rebalance", partition).observe(watch, *(c.alias(n) for n, c in measures.items()))
     rows = rows.select(*(f"`{c}`" for c in batch.columns if c != FILE))
     rows.write.format(fmt).partitionBy(partition).save(path)
     written = batch.sparkSession.read.schema(rows.schema).format(fmt).load(path)

@@ -20,6 +20,10 @@ KEYS = ("o_orderkey", "o_orderdate", "o_orderpriority")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
+#: Most rows of a landed file.
+FILE_ROWS = 1_000_000
+
+
 def _rules(high: float = 1e12):
     return [
         *(Rule.exists(c) for c in ORDER_COLUMNS),
@@ -73,7 +77,7 @@ def _stream(spark, sf_dir):
     )
     orders = table(spark, sf_dir, "orders")
     first, _ = temporal_split(orders, "o_orderdate", SPLIT_AT)
-    write_partitioned(first.withColumn("year", F.year("o_orderdate")), path)
+    write_partitioned(first.withColumn("year", F.year("o_orderdate")), path, spread=True)
     orders.write.parquet(landing)
 
     def load(batch):
@@ -130,8 +134,13 @@ def _backfill_then_validate(spark, sf_dir):
     return comparable(scan_table(spark, path).select(*ORDER_COLUMNS))
 
 
+def _land(rows, landing):
+    """Rows arrive as the files that their tasks write, none of them large."""
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).mode("append").parquet(landing)
+
+
 def _stream_two_batches(spark, sf_dir):
-    """Two files arrive, the newer rows in the first; each is a batch of its own."""
+    """The newer rows arrive first, then the older ones; all files that arrive together are a batch of their own."""
     landing, path, good, bad, state = (
         scratch_path(spark, name) for name in ("landing", "orders", "good", "bad", "stream")
     )
@@ -142,8 +151,9 @@ def _stream_two_batches(spark, sf_dir):
         load_validated(batch, path, _rules(), "o_orderdate", good, bad)
 
     for part in (newer, older):
-        part.coalesce(1).write.mode("append").parquet(landing)
-        run_incremental_stream(spark, landing, orders.schema, load, state, files_per_batch=1)
+        _land(part, landing)
+        files = len(scan_table(spark, landing).inputFiles())
+        run_incremental_stream(spark, landing, orders.schema, load, state, files_per_batch=files)
     return comparable(scan_table(spark, path).select(*ORDER_COLUMNS))
 
 
@@ -156,12 +166,12 @@ def _curated_orc(spark, sf_dir):
 
 
 def _schema_gate_files(spark, sf_dir):
-    """One of two landed files lacks a column that a rule asks for: nothing is loaded."""
+    """Some of the landed files lack a column that a rule asks for: nothing is loaded."""
     landing, path, good, bad = (scratch_path(spark, name) for name in ("landing", "orders", "good", "bad"))
     orders = table(spark, sf_dir, "orders")
     older, newer = temporal_split(orders, "o_orderdate", SPLIT_AT)
-    older.coalesce(1).write.parquet(landing)
-    newer.drop("o_orderpriority").coalesce(1).write.mode("append").parquet(landing)
+    _land(older, landing)
+    _land(newer.drop("o_orderpriority"), landing)
     columns = common_columns(spark, landing)
     try:
         load_validated(spark.read.schema(orders.schema).parquet(landing), path, _rules(), "o_orderdate", good, bad, columns)

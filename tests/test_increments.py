@@ -16,7 +16,7 @@ from lakecast.plans.features import model_table
 from lakecast.plans.increments import add_partial_groups, merged_groups, update_model_table
 from lakecast.plans.loading import load_validated
 from lakecast.plans.staging import FILE, stage, with_file
-from lakecast.queries import increments
+from lakecast.queries import increments, loads
 from lakecast.series import SeriesSpec
 from lakecast.sources import footers
 from lakecast.sources.files import common_columns, scan_parquet
@@ -90,6 +90,50 @@ def test_staged_measures(spark, tmp_path):
     assert empty.count == 0 and empty.rows.count() == 0
 
 
+def writers(folder):
+    """Numbers of the tasks that wrote the files below a folder."""
+    return {p.name.split("-")[1] for p in folder.rglob("part-*.parquet")}
+
+
+def test_the_rows_of_one_file_are_written_by_several_tasks(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("table", "good", "bad")]
+    rows = [(f"{1990 + i % 12}-01-01 00:00:00", "a", float(i % 50)) for i in range(600)]
+    later = [(f"{1990 + i % 12}-02-01 00:00:00", "a", float(i % 50)) for i in range(600)]
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        staged = stage(facts(spark, rows).coalesce(1).withColumn("year", F.year("ts")), RULES, str(tmp_path / "t"), "ts", "year")
+        assert staged.count == 600 and len(staged.measures["parts"]) == 12 and staged.rows.count() == 600
+        assert len(writers(tmp_path)) > 1
+        staged.discard()
+        # A first load, a merge, and one of good rows only.
+        assert load_validated(facts(spark, rows).coalesce(1), paths[0], RULES, "ts", *paths[1:]).status == "loaded"
+        assert load_validated(facts(spark, rows + later).coalesce(1), paths[0], RULES, "ts", *paths[1:]).status == "merged"
+        assert scan_table(spark, paths[0]).count() == 1200
+        mixed = facts(spark, [*rows, ("1999-01-01 00:00:00", "z", 1.0)]).coalesce(1)
+        other = tmp_path / "other"
+        assert load_validated(mixed, str(other), RULES, "ts", *paths[1:], on_fail="split").status == "split"
+        assert scan_table(spark, str(other)).count() == 600 and len(writers(other)) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_two_arrivals_are_two_batches_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "FILE_ROWS", 10, raising=False)
+    monkeypatch.setattr(loads, "scratch_path", lambda _, name: str(tmp_path / name))
+    batches = []
+    load = loads.load_validated
+    monkeypatch.setattr(loads, "load_validated", lambda batch, *a: batches.append(batch.count()) or load(batch, *a))
+    rows = [(i, i, "O", 1.0, dt.datetime(1998 + i % 6, 1, 2), "5-LOW") for i in range(120)]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    orders = create_or_replace_as(spark.createDataFrame(rows, names).coalesce(1), str(tmp_path / "orders.parquet"))
+    found = loads._stream_two_batches(spark, str(tmp_path))
+    newer = orders.where(F.col("o_orderdate") >= F.lit(loads.SPLIT_AT).cast("timestamp")).count()
+    assert found.count() == 120 and batches == [newer, 120 - newer] and 0 < newer < 120
+    landed = [r["count"] for r in with_file(scan_table(spark, str(tmp_path / "landing"))).groupBy(FILE).count().collect()]
+    assert sum(landed) == 120 and max(landed) == 10
+
+
 # --- footers -------------------------------------------------------------------------------
 
 
