@@ -8,9 +8,10 @@ no sequence crosses documents and none holds padding; batches are made of equal
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,11 @@ TEXT_AT_ONCE = 2 * 1024 * 1024
 
 # Plain words: printable ASCII but for the apostrophe and angle brackets, and the letters of Latin-1.
 _PLAIN = regex.compile(r"[!-&(-;=?-~À-ÖØ-öø-ÿ]+")
+_PLAIN_LINES = regex.compile(r"[!-&(-;=?-~À-ÖØ-öø-ÿ\n]+")
+
+#: What stands for a line's end among ids; no tokenizer has as many.
+_NO_ID = np.uint32(0xFFFFFFFF)
+_LINE_END = _NO_ID.tobytes()
 
 # Byte-level models name each byte by a letter: printable ones by themselves, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,53 +71,67 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._pattern = _plain_pattern(path)
         self._words_kept = words_kept
-        self._parts: dict[str, list[int]] = {}
+        self._parts: dict[str, bytes] = {}
         self._place: dict[str, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
         self._starts = np.zeros(1 << 16, np.int64)
 
     def _learn(self, words: list[str]) -> None:
+        """Ids of words that are not remembered, from the end of the remembered ones on; as many as there is room for are remembered."""
         # In small parts, as the tokenizer's results are many times as large as their ids.
         for first in range(0, len(words), 4096):
-            self._learn_part(words[first : first + 4096])
-
-    def _learn_part(self, words: list[str]) -> None:
-        each = self._encoded(words)
-        used = int(self._starts[len(self._place)])
-        ends = used + np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))
+            self._learn_part(words[first : first + 4096], len(self._place) + first)
+        kept = max(0, self._words_kept - len(self._place))
+        self._place.update(zip(words[:kept], range(len(self._place), len(self._place) + kept)))
+
+    def _learn_part(self, words: list[str], first: int) -> None:
+        ids, counts = self._encoded(words)
+        used = int(self._starts[first])
+        ends = used + np.cumsum(counts)
         total = int(ends[-1])
         if total > len(self._ids):
             self._ids = np.concatenate([self._ids[:used], np.empty(2 * total, np.uint32)])
-        self._ids[used:total] = np.fromiter(chain.from_iterable(each), np.uint32, total - used)
-        first = len(self._place)
+        self._ids[used:total] = ids
         if first + len(words) >= len(self._starts):
             self._starts = np.concatenate([self._starts, np.empty(len(self._starts) + len(words), np.int64)])
         self._starts[first + 1 : first + 1 + len(words)] = ends
-        self._place.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def _encoded(self, words: list[str]) -> list[list[int]]:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids one after another, and how many each has."""
         if self._pattern is None:
-            return [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
-        others = iter(self._tokenizer.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
+            return self._by_tokenizer(words)
+        if _PLAIN_LINES.fullmatch("\n".join(words)):
+            return self._by_parts(words)
+        plain = np.fromiter((_PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
+        counts = np.empty(len(words), np.int64)
+        some, counts[plain] = self._by_parts(list(compress(words, plain)))
+        others, counts[~plain] = self._by_tokenizer(list(compress(words, ~plain)))
+        of_plain = np.repeat(plain, counts)
+        ids = np.empty(len(of_plain), np.uint32)
+        ids[of_plain], ids[~of_plain] = some, others
+        return ids, counts
+
+    def _by_tokenizer(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        counts = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), np.uint32, int(counts.sum())), counts
+
+    def _by_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_encoded`` for plain words: all are cut at once, one a line, and each distinct part is looked up or encoded once."""
+        found = self._pattern.findall("".join(f"{w}\n" for w in words).lower())
+        if found.count("\n") != len(words):
+            # A pattern that takes a line's end into a part cannot cut lines.
+            return self._by_tokenizer(words)
         if len(self._parts) > self._words_kept // 4:
             self._parts.clear()
-        return [self._joined(w) if p else next(others).ids for w, p in zip(words, plain, strict=True)]
-
-    def _joined(self, word: str) -> list[int]:
-        out, parts = [], self._parts
-        for part in self._pattern.findall(word.lower()):
-            ids = parts.get(part)
-            if ids is None:
-                ids = parts[part] = [t.id for t in self._tokenizer.model.tokenize(part.translate(_BYTE_LETTERS))]
-            out += ids
-        return out
-
-    def _forget(self, words: list[str]) -> None:
-        """Forgets the last words learnt, as far as there are too many."""
-        kept = max(self._words_kept, len(self._place) - len(words))
-        for word in words[kept - len(self._place) + len(words) :]:
-            del self._place[word]
+        parts, tokenize = self._parts, self._tokenizer.model.tokenize
+        parts["\n"] = _LINE_END
+        for part in set(found).difference(parts):
+            letters = part if part.isascii() else part.translate(_BYTE_LETTERS)
+            parts[part] = array("I", [t.id for t in tokenize(letters)]).tobytes()
+        ids = np.frombuffer(b"".join(map(parts.__getitem__, found)), np.uint32)
+        ends = np.flatnonzero(ids == _NO_ID)
+        return ids[ids != _NO_ID], np.diff(ends, prepend=-1) - 1
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; a null text has none."""
@@ -119,17 +139,17 @@ class WordIds:
         ends = words.offsets.to_numpy()
         coded = words.values[ends[0] : ends[-1]].dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self._place]
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self._place.__getitem__, distinct), np.int64, len(distinct))
+        place = np.fromiter(map(self._place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(place < 0)
+        if len(unknown):
+            # Learnt words stand after the remembered ones, in order.
+            place[unknown] = np.arange(len(self._place), len(self._place) + len(unknown))
+            self._learn([distinct[i] for i in unknown.tolist()])
         at = place[coded.indices.to_numpy()]
         first = self._starts[at]
         count = self._starts[at + 1] - first
         upto = np.concatenate([[0], np.cumsum(count)])
         ids = self._ids[np.arange(upto[-1]) + np.repeat(first - upto[:-1], count)]
-        if len(self._place) > self._words_kept:
-            self._forget(new)
         return np.split(ids, upto[ends[1:-1] - ends[0]])
 
 
@@ -146,7 +166,8 @@ def _plain_pattern(path: str):
     special = any(_PLAIN.fullmatch(t["content"]) for t in spec["added_tokens"])
     if not kept_parts or letters["use_regex"] or letters["add_prefix_space"] or special:
         return None
-    return regex.compile(split["pattern"]["Regex"])
+    # Words hold no white space: in many of them, one a line, a line's end is to be a part of its own.
+    return regex.compile(rf"{split['pattern']['Regex']}|\n")
 
 
 @lru_cache(maxsize=2)

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -539,3 +541,34 @@ def test_many_small_sources_are_ranked_in_even_ranges(spark):
     assert [sum(r.source == "hot" for r in got if r.shard == shard) for shard in (0, 1, 6, 7)] == [3750, 1250, 1250, 3750]
     sizes = found.groupBy(F.spark_partition_id()).count().collect()
     assert max(s["count"] for s in sizes) < 3 * 3000
+
+
+class _Counted:
+    """A pattern that counts its calls."""
+
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def findall(self, text):
+        self.calls += 1
+        return self.pattern.findall(text)
+
+
+def test_plain_words_are_cut_many_at_once():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    texts = [" ".join(f"Wörd{i * j}ing,n{j}" for j in range(40)) for i in range(50)] + ["it's 日本 plain", None, "ÉÀ -- 'tis <b> Σ", ""]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for kept in (400_000, 3, 0):
+        ids = packing.WordIds(path, kept)
+        counted = ids._pattern = _Counted(ids._pattern)
+        assert [i.tolist() for i in ids(pa.array(texts))] == want and len(ids._place) <= kept
+        # About 2,000 words, and one call.
+        assert counted.calls == 1
+    # A pattern that would take a line's end into a part is not used.
+    ids = packing.WordIds(path)
+    ids._pattern = re.compile(r"[^a]+|\n")
+    assert [i.tolist() for i in ids(pa.array(texts))] == want
