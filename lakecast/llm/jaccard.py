@@ -7,13 +7,16 @@ sets must share two tokens of one class, and combinations of two are indexed. Do
 meet in the index are compared by their whole sets.
 
 Equal sets are one node from the start, and index buckets with the same members are one bucket. Small
-buckets give pairs of nodes. Members of large buckets are compared in blocks: nodes are gathered
+buckets give pairs of nodes. Large buckets are parted first by sketches of whole sets, which tell in how many
+tokens two sets differ at least: members that share no more than common tokens go, and what may hang
+together stays a bucket. Members of parts that are still large are compared in blocks: nodes are gathered
 in families around the largest buckets, and blocks of families that share a bucket meet; a pair of
 blocks returns only the links that hold its members together.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -38,8 +41,8 @@ class Join:
 
     A token in more than ``rare`` sets is frequent. ``indexed``: share of the token space that is
     indexed, times the share of tokens in which similar sets may differ; documents with too few tokens there index all.
-    Buckets of more than ``small`` members are compared in blocks of about ``block``. These settings change the
-    work, not the result.
+    Buckets of more than ``small`` members are parted by sketches, and what is still larger is compared in blocks of
+    about ``block``. These settings change the work, not the result.
     """
 
     words: int = 3
@@ -53,6 +56,19 @@ class Join:
         """Tokens of a set of ``n`` that a similar set may lack."""
         return n - -(-n * self.percent // 100)
 
+    def apart(self, sizes):
+        """Tokens that stand in only one of two similar sets, at most, whose ``sizes`` add up to this."""
+        return sizes * (100 - self.percent) // (100 + self.percent)
+
+    def sketch_bits(self, n: int) -> int:
+        """Bits that tell a set of ``n`` from one it shares little with: about half of them would differ."""
+        return max(512, 1 << (4 * self.apart(2 * n)).bit_length())
+
+    @property
+    def step(self) -> float:
+        """Width of a size step, on the scale of logarithms: sizes of similar sets lie in one step or in two neighbouring ones."""
+        return math.log(100 / self.percent) + 1e-4
+
     @property
     def low(self) -> int:
         """Tokens below this (unsigned) are indexed by all documents."""
@@ -87,6 +103,19 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(31)))
 
 
+def sketch(tokens: np.ndarray, join: Join) -> np.ndarray:
+    """Parity of the tokens that fall on each bit, as 64-bit numbers: two sets differ in as many tokens as bits differ, or more."""
+    bits = join.sketch_bits(len(tokens))
+    at = (tokens >> np.uint64(20)) & np.uint64(bits - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def _folded(one: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same set in fewer numbers, unsigned, as bits are counted."""
+    return np.bitwise_xor.reduce(one.view(np.uint64).reshape(-1, words))
+
+
 def _indexed(tokens: np.ndarray, join: Join) -> np.ndarray:
     """The tokens a document indexes: those of the low space, or all if they are too few to make a prefix."""
     n = len(tokens)
@@ -98,7 +127,7 @@ def _indexed(tokens: np.ndarray, join: Join) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, join: Join, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, hash`` of the text, ``n`` tokens, a 128-bit ``digest`` of the set and the tokens that are ``indexed``."""
+    """``id, hash`` of the text, ``n`` tokens, a 128-bit ``digest`` of the set, its ``sketch`` and the tokens that are ``indexed``."""
     kind = docs.schema[key].dataType.simpleString()
     whole = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), whole.alias("text"))
@@ -108,18 +137,21 @@ def sets_of(docs: DataFrame, join: Join, key: str = "doc_id", text: str = "text"
             found = [shingles(t, join.words) for t in byte_texts(batch.column(2))]
             tokens = [_indexed(s, join).view(np.int64) for s in found]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+            sketches = [sketch(s, join) for s in found]
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in sketches])])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array([len(s) for s in found], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *sketches]))),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *tokens]))),
                 ],
-                names=["id", "hash", "n", "digest", "indexed"],
+                names=["id", "hash", "n", "digest", "sketch", "indexed"],
             )
 
-    return rows.mapInArrow(digest, f"id {kind}, hash long, n long, digest binary, indexed array<long>")
+    return rows.mapInArrow(digest, f"id {kind}, hash long, n long, digest binary, sketch array<long>, indexed array<long>")
 
 
 def signatures(n: int, n_low: int, n_high: int, tokens: list[int], sets: list[int], join: Join) -> list[int]:
@@ -197,6 +229,64 @@ def _buckets(index: DataFrame) -> DataFrame:
     return index.join(kept_keys, "key").select("key", "node", "m")
 
 
+def hanging_together(sizes: np.ndarray, sketches: np.ndarray, join: Join) -> np.ndarray:
+    """For each set the number of one that it may hang together with, over links that the sketches (a row each) allow."""
+    at = np.argsort(sizes, kind="stable")
+    sizes, sketches, out = sizes[at], sketches[at], np.empty(len(sizes), np.int64)
+    # What is not placed yet stays sorted by size, so that a set looks only at those of fitting sizes.
+    while len(at):
+        first, front = at[0], (sizes[:1], sketches[:1])
+        out[first] = first
+        at, sizes, sketches = at[1:], sizes[1:], sketches[1:]
+        while len(front[0]) and len(at):
+            near, start = np.zeros(len(at), bool), 0
+            while start < len(front[0]):
+                low = np.searchsorted(sizes, front[0][start] * join.percent // 100)
+                high = np.searchsorted(sizes, -(-front[0][start] * 100 // join.percent), "right")
+                # The front is sorted as well: the first of a few has the smallest sizes, the last the largest.
+                stop = min(len(front[0]), start + max(1, (1 << 18) // max(1, (high - low) * sketches.shape[1])))
+                high = np.searchsorted(sizes, -(-front[0][stop - 1] * 100 // join.percent), "right")
+                differ = np.bitwise_count(front[1][start:stop, None] ^ sketches[None, low:high]).sum(axis=2, dtype=np.int64)
+                both = front[0][start:stop, None] + sizes[None, low:high]
+                near[low:high] |= (np.maximum(differ, np.abs(2 * sizes[None, low:high] - both)) <= join.apart(both)).any(axis=0)
+                start = stop
+            if not near.any():
+                break
+            out[at[near]] = first
+            front = (sizes[near], sketches[near])
+            at, sizes, sketches = at[~near], sizes[~near], sketches[~near]
+    return out
+
+
+def _parted(large: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
+    """``key, node``: the parts of ``large`` buckets that may hang together, by sizes and sketches.
+
+    A bucket is cut by size steps. A node is in its own step and in the next, so nodes of fitting sizes share one;
+    parts that lie wholly below their step are whole in the step before.
+    """
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(join.step)).alias("own")
+    rows = large.select("key", "node").join(nodes.select("node", "n", own, "sketch"), "node")
+    rows = rows.select("key", F.explode(F.array("own", F.col("own") + 1)).alias("step"), "node", "n", "own", "sketch")
+
+    def part(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        node, n, own_ = (group.column(c).to_numpy() for c in ("node", "n", "own"))
+        found = [s.values.to_numpy() for s in group.column("sketch")]
+        words = min(map(len, found))
+        root = hanging_together(n, np.array([_folded(s, words) for s in found]), join)
+        here, count = np.zeros(len(n), bool), np.bincount(root, minlength=len(n))
+        here[root[own_ == key[1].as_py()]] = True
+        stays = here[root] & (count[root] > 1)
+        names = {"key": key[0].as_py(), "step": key[1].as_py()}
+        return pa.table(
+            {k: pa.array(np.full(stays.sum(), v), pa.int64()) for k, v in names.items()}
+            | {"root": pa.array(node[root[stays]], pa.int64()), "node": pa.array(node[stays], pa.int64())}
+        )
+
+    parts = rows.groupBy("key", "step").applyInArrow(part, "key long, step long, root long, node long")
+    # Keys that collide by chance only bring more candidates.
+    return parts.select(F.xxhash64("key", "step", "root").alias("key"), "node")
+
+
 def _whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: str) -> DataFrame:
     """``node, tokens`` of the given nodes, from a text of each (from all, if its row is repeated)."""
     whole = F.col(text).cast("string")
@@ -217,10 +307,13 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: s
 
 
 def _pairs(buckets: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """Pairs ``a < b`` of members of small buckets, of fitting sizes, whose indexed tokens allow a link."""
-    members = buckets.where(F.col("m") <= join.small).join(nodes.select("node", "n"), "node").select("key", "node", "n")
-    left = members.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"))
-    fitting = 100 * F.least("n", "n_a") >= join.percent * F.greatest("n", "n_a")
+    """Pairs ``a < b`` of members of small buckets, of fitting sizes, whose sketches and indexed tokens allow a link."""
+    members = buckets.where(F.col("m") <= join.small).join(nodes.select("node", "n", "sketch"), "node").select("key", "node", "n", "sketch")
+    left = members.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    bits = F.zip_with("s_a", "sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long"))
+    differ = F.aggregate(bits, F.lit(0).cast("long"), lambda total, x: total + x)
+    alike = (F.size("s_a") != F.size("sketch")) | (differ * (100 + join.percent) <= (F.col("n") + F.col("n_a")) * (100 - join.percent))
+    fitting = (100 * F.least("n", "n_a") >= join.percent * F.greatest("n", "n_a")) & alike
     pairs = left.join(members, "key").where((F.col("a") < F.col("node")) & fitting).select("a", F.col("node").alias("b")).distinct()
     # Of the tokens that a set indexes, a similar set lacks no more than of all of them; but tokens of the
     # high space are no evidence against a set that does not index it.
@@ -360,10 +453,16 @@ def _block_links(buckets: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 def node_components(docs: DataFrame, nodes: DataFrame, join: Join, key: str, text: str) -> DataFrame:
     """``node, root`` of all nodes that have a link to a different one.
 
-    ``nodes`` holds ``node, n, id, hash, indexed``, one row per set.
+    ``nodes`` holds ``node, n, id, hash, sketch, indexed``, one row per set.
     """
-    buckets = stored(_buckets(stored(_index(nodes, join), "index")), "buckets")
-    pairs = kept(_pairs(buckets, nodes, join))
+    index = stored(_index(nodes, join), "index")
+    whole = stored(_buckets(index), "buckets")
+    discard(index)
+    parts = stored(_parted(whole.where(F.col("m") > join.small), nodes, join), "parts")
+    buckets = stored(whole.where(F.col("m") <= join.small).unionByName(_buckets(parts)), "parted-buckets")
+    discard(whole)
+    discard(parts)
+    pairs = stored(_pairs(buckets, nodes, join), "pairs")
     large = buckets.where(F.col("m") > join.small).select("node")
     involved = pairs.select("a").union(pairs.select("b")).union(large).toDF("node").distinct()
     wanted = kept(nodes.select("node", "id", "hash").join(involved, "node"))
@@ -386,8 +485,8 @@ def linked(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     nodes = (
         wide.where("digest IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("indexed").alias("indexed"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "n", "first.id", "first.hash", "indexed")
+        .agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("indexed").alias("indexed"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "n", "first.id", "first.hash", "sketch", "indexed")
     )
     nodes = stored(nodes, "nodes")
     rows = stored(wide.select("id", "n", "digest"), "documents")

@@ -489,6 +489,34 @@ def test_block_links_hold_together_what_all_links_do():
     assert set(found) <= across and groups(found, range(40)) == groups(across, range(40)) and len(found) < 40
 
 
+def test_large_buckets_of_documents_that_only_share_a_passage(spark, monkeypatch):
+    rng = random.Random(5)
+    own = lambda n: ["".join(rng.choices("abcdefghij", k=7)) for _ in range(n)]
+    passage = own(140)
+    rows = [(i, " ".join([*passage, *own(100)])) for i in range(60)]
+    rows += [(100 + i, f"{rows[0][1]} {i}") for i in range(20)]
+    read, stored = {}, jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: (out := stored(df, name), read.update({name: out.count()}))[0])
+    found = [tuple(r) for r in jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert order(found) == order(jaccard_components(rows, 3, 90))
+    # Whole sets are only compared of the copies; the other documents share their large buckets, and no more.
+    assert read["sets"] == 21 and read["blocks"] == 1
+
+
+@pytest.mark.parametrize("percent", [90, 60])
+def test_sketches_never_part_similar_sets(percent):
+    rng, join = np.random.default_rng(percent), jaccard.Join(percent=percent)
+    for n in (1, 7, 60, 1500):
+        base = [rng.integers(0, 1 << 64, n, np.uint64) for _ in range(3)]
+        sets = [np.unique(np.concatenate([b[rng.permutation(n)[k // 2 :]], rng.integers(0, 1 << 64, k, np.uint64)])) for b in base for k in range(0, n // 3 + 1, n // 25 + 1)]
+        sketches = [jaccard.sketch(s, join) for s in sets]
+        words = min(map(len, sketches))
+        root = jaccard.hanging_together(np.array([len(s) for s in sets]), np.array([jaccard._folded(s, words) for s in sketches]), join)
+        alike = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))]
+        assert all(root[i] == root[j] for i, j in alike)
+        assert len(set(root)) >= 3 or n < 7
+
+
 def test_one_of_each_with_repeated_rows(docs, rows, none):
     out = jaccard.one_of_each(docs)
     assert out.columns == docs.columns
